@@ -174,11 +174,11 @@ def usable_endpoints(scorecard: DataFrame) -> DataFrame:
 
 
 def progress(pages: DataFrame, total: str, page: str, size: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows announced, rows covered by the pages read so far, and the rest."""
+    """Rows announced, rows covered by the pages read so far, and the rest (below 0 on a part-filled last page)."""
     return (
         pages.groupBy(*by)
         .agg(F.max(total).alias("total_rows"), F.max(F.col(page) * F.col(size)).alias("covered_rows"))
-        .withColumn("remaining_rows", F.greatest(F.col("total_rows") - F.col("covered_rows"), F.lit(0)))
+        .withColumn("remaining_rows", F.col("total_rows") - F.col("covered_rows"))
     )
 
 
