@@ -79,11 +79,12 @@ def parse_envelope(df: DataFrame, spec: FeedSpec, body: str = "body") -> DataFra
     for column in required[1:]:
         present = present & column.isNotNull()
     units = F.col(f"_env.`{spec.array}`")
+    good = _fetched(df) & F.coalesce(present, F.lit(False))
     return read.select(
         *kept,
         *[ours[c].alias(c) if c in ours else F.lit(None).cast("bigint").alias(c) for c in COUNTERS],
-        F.when(_fetched(df) & F.coalesce(present, F.lit(False)), F.lit(OK)).otherwise(F.lit(REFETCH)).alias("page_state"),
-        (F.get(units, F.lit(0)) if spec.nested else units).alias("units"),
+        F.when(good, F.lit(OK)).otherwise(F.lit(REFETCH)).alias("page_state"),
+        F.when(good, F.get(units, F.lit(0)) if spec.nested else units).alias("units"),
     )
 
 
@@ -117,7 +118,7 @@ def _parse_html(df: DataFrame, spec: FeedSpec, body: str) -> DataFrame:
         *kept,
         *[F.lit(None).cast("bigint").alias(c) for c in COUNTERS],
         state.alias("page_state"),
-        F.when(shaped, F.col("_rows")).alias("units"),
+        F.when(_fetched(df) & shaped, F.col("_rows")).alias("units"),
     )
 
 
@@ -175,7 +176,7 @@ def nonempty_pages(pages: DataFrame, units: str = "units") -> DataFrame:
 
 
 def project_positional(
-    df: DataFrame, fields: Sequence[Field], unit: str = "unit", separator: str = ",", shares: bool = True
+    df: DataFrame, fields: Sequence[Field], unit: str = "unit", separator: str = ","
 ) -> DataFrame:
     """Comma-joined units to columns by position; a position the unit lacks is NULL."""
     kept = [c for c in df.columns if c != unit]

@@ -38,9 +38,11 @@ def high_water(table: DataFrame, code: str, ident: str, at: str) -> DataFrame:
     return table.groupBy(code).agg(F.max(ident).alias("max_id"), F.max(at).alias("max_at"))
 
 
-def enrich_share(rows: DataFrame, universe: DataFrame, on: Sequence[str] | str = "share_code") -> DataFrame:
-    """Rows with the columns of their share; rows of unknown shares go."""
-    return rows.join(universe, on, "inner")
+def enrich_share(
+    rows: DataFrame, universe: DataFrame, on: Sequence[str] | str = "share_code", how: str = "inner"
+) -> DataFrame:
+    """Rows with the columns of their share; rows of unknown shares go, or stay unfilled with ``how="left"``."""
+    return rows.join(universe, on, how)
 
 
 def with_cutoff(rows: DataFrame, marks: DataFrame, on: str, mark: str, default: Column, name: str = "cutoff") -> DataFrame:

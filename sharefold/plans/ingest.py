@@ -55,13 +55,12 @@ class FeedRun:
     def items(self) -> DataFrame:
         """Item rows of this batch, for the JSON-lines dump."""
         fields = [f.name for f in self.spec.fields]
-        rows = self.parsed().where(F.col("unit_pos").isNotNull())
-        return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in fields])
+        return self.parsed().where(F.col("unit_pos").isNotNull()).select(*fields)
 
     def refetch(self) -> DataFrame:
         """Pages to ask for again, and those of a changed shape, with their state."""
         pages = self.parsed().where(F.col("page_state") != OK)
-        return pages.select("feed", "url", "share_code", "page_no", "fetched_at", "page_state").distinct()
+        return pages.select("feed", "url", "share_code", "page_no", "fetched_at", "page_state")
 
     def rejects(self) -> DataFrame:
         return self.spark.read.parquet(self.judged_path).where(F.col("reject_reason") != "")
@@ -69,7 +68,8 @@ class FeedRun:
     def counters(self) -> DataFrame:
         """Paging counters of this batch's pages, one row per page, for the page plan."""
         columns = ("feed", "url", "share_code", "page_no", "page_size", "total_rows", "total_pages")
-        return self.parsed().where(F.col("page_state") == OK).select(*columns).distinct()
+        first_rows = F.coalesce(F.col("unit_pos"), F.lit(0)) == 0
+        return self.parsed().where((F.col("page_state") == OK) & first_rows).select(*columns)
 
 
 def stage_feed(
@@ -81,9 +81,11 @@ def stage_feed(
         if universe is None:
             raise ValueError(f"feed {spec.name} needs the share universe")
         names = universe.select(
-            F.col("shares_code").cast("string").alias("share_code"), F.col("shares_name").alias("name")
+            F.col("shares_code").cast("string").alias("share_code"),
+            F.col("shares_name").alias("name"),
+            F.lit(True).alias("share_known"),
         )
-        rows = enrich_share(rows, names)
+        rows = enrich_share(rows, names, how="left")
     rows.write.mode("overwrite").parquet(run.parsed_path)
     return run.parsed()
 
@@ -138,10 +140,13 @@ def ingest(
         # A notice without a date is no notice: it goes without being counted as a reject.
         units = units.where(F.coalesce(F.col("announcement_date"), F.lit("")) != "")
     units = units.withColumn("batch", F.lit(batch).cast("bigint"))
-    judged = with_reasons(stored_projection(units, spec, keep=("url", *ARRIVAL)), key_rules(spec))
+    rules, keep = key_rules(spec), ("url", *ARRIVAL)
+    if spec.per_share:
+        rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
+    judged = with_reasons(stored_projection(units, spec, keep=keep), rules)
     judged.write.mode("overwrite").parquet(run.judged_path)
     good = run.spark.read.parquet(run.judged_path).where(F.col("reject_reason") == "")
     partition = [spec.partition] if spec.partition not in spec.columns else []
     incoming = with_arrival(good, ARRIVAL).select(*spec.columns, *partition, "_first_seq", "_last_seq")
-    merge_feed(incoming, run.table_path, batch, spec, extra_keys)
+    merge_feed(incoming, run.table_path, spec, extra_keys)
     return run

@@ -1,9 +1,9 @@
 """Stored tables kept current by keyed merge.
 
-Layout below a table's path: ``rows/`` (Parquet, partitioned by a function of the key), ``merged/batch=N/`` (what
-batch N turned the touched partitions into) and ``log/`` (one row per batch and step). A batch reads and rewrites
-only the partitions it touches. The merged partitions are written out in full before any stored one is replaced,
-so a run that dies between the two steps is finished by ``resume`` from what is on disk.
+Below a table's path stand ``rows/`` (Parquet, partitioned by a function of the key), ``merged/`` (what the last
+batch turned its partitions into) and ``state/`` (how far that batch got). A batch reads and rewrites only the
+partitions it touches. Their new content is written out in full before any stored one is replaced, so a run that
+dies between the two steps is finished by ``resume`` from what is on disk.
 """
 
 from __future__ import annotations
@@ -36,42 +36,30 @@ def read_stored(spark: SparkSession, path: str, hidden: bool = False) -> DataFra
     return rows if rows is None or hidden else rows.drop(FIRST, LAST)
 
 
-def _note(spark: SparkSession, path: str, batch: int, step: str) -> None:
-    spark.createDataFrame([(batch, step)], "batch bigint, step string").coalesce(1).write.mode("append").parquet(
-        f"{path}/log"
-    )
-
-
-def _steps(spark: SparkSession, path: str, batch: int) -> set[str]:
-    log = _read(spark, f"{path}/log")
-    if log is None:
-        return set()
-    return {r.step for r in log.where(F.col("batch") == batch).select("step").distinct().collect()}
+def _note(spark: SparkSession, path: str, step: str) -> None:
+    spark.range(1).select(F.lit(step).alias("step")).write.mode("overwrite").parquet(f"{path}/state")
 
 
-def _apply(spark: SparkSession, path: str, batch: int, partition: str) -> None:
-    merged = spark.read.parquet(f"{path}/merged/batch={batch}")
+def _apply(spark: SparkSession, path: str, partition: str) -> None:
     (
-        merged.hint("rebalance", partition)
+        spark.read.parquet(f"{path}/merged")
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(f"{path}/rows")
     )
-    _note(spark, path, batch, APPLIED)
+    _note(spark, path, APPLIED)
 
 
-def resume(spark: SparkSession, path: str, partition: str) -> int | None:
-    """Finishes the batch that was merged but not applied, if there is one."""
-    log = _read(spark, f"{path}/log")
-    if log is None:
-        return None
-    steps = log.groupBy("batch").agg(F.max(F.col("step") == APPLIED).alias("done")).where(~F.col("done"))
-    left = steps.orderBy("batch").head()
-    if left is None:
-        return None
-    _apply(spark, path, left.batch, partition)
-    return left.batch
+def resume(spark: SparkSession, path: str, partition: str) -> bool:
+    """Finishes a batch that was merged but not applied; tells whether there was one."""
+    state = _read(spark, f"{path}/state")
+    left = None if state is None else state.head()
+    if left is None or left.step != MERGED:
+        return False
+    _apply(spark, path, partition)
+    return True
 
 
 def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
@@ -85,31 +73,26 @@ def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFram
 def merge_into_table(
     incoming: DataFrame,
     path: str,
-    batch: int,
     key: tuple[str, ...],
     sticky: tuple[str, ...],
     partition: str,
 ) -> None:
-    """Folds a batch into the table at ``path``. A batch that was applied before changes nothing.
+    """Folds a batch into the table at ``path``; one writer at a time.
 
-    ``incoming`` carries arrivals (``with_arrival``) and is read twice: pass a written table. ``partition`` must be
-    a function of ``key``, else a key could live in two places.
+    ``incoming`` carries arrivals (``with_arrival``), which makes a repeated batch harmless, and is read twice:
+    pass a written table. ``partition`` must be a function of ``key``, else a key could live in two places.
     """
     spark = incoming.sparkSession
     resume(spark, path, partition)
-    if APPLIED in _steps(spark, path, batch):
-        return
     stored = read_stored(spark, path, hidden=True)
     if stored is not None:
         stored = _touched(stored.select(*incoming.columns), incoming, partition)
-    merged = upsert(stored, incoming, key, sticky)
-    merged.hint("rebalance", partition).write.mode("overwrite").parquet(f"{path}/merged/batch={batch}")
-    _note(spark, path, batch, MERGED)
-    _apply(spark, path, batch, partition)
+    upsert(stored, incoming, key, sticky).write.mode("overwrite").parquet(f"{path}/merged")
+    _note(spark, path, MERGED)
+    _apply(spark, path, partition)
 
 
-def merge_feed(incoming: DataFrame, path: str, batch: int, spec: FeedSpec, extra_keys: tuple[str, ...] = ()) -> None:
+def merge_feed(incoming: DataFrame, path: str, spec: FeedSpec, extra_keys: tuple[str, ...] = ()) -> None:
     """``merge_into_table`` with a feed's key. ``extra_keys`` splits keys further, such as by holder."""
-    key = (*spec.key, *extra_keys)
     sticky = tuple(c for c in spec.sticky if c not in extra_keys)
-    merge_into_table(incoming, path, batch, key, sticky, spec.partition)
+    merge_into_table(incoming, path, (*spec.key, *extra_keys), sticky, spec.partition)

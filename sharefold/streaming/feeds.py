@@ -46,15 +46,14 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merges each micro-batch into the table at ``path``.
 
-    A micro-batch is written once below ``path`` and merged from there. Its number leads the arrival order and
-    names the batch, so a batch that is delivered again after a failure changes nothing.
+    A micro-batch is written once below ``path`` and merged from there. Its number leads the arrival order, so a
+    batch that is delivered again after a failure changes nothing.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
         numbered = with_arrival(rows.withColumn("_batch", F.lit(batch).cast("bigint")), ["_batch", *order])
-        landed = f"{path}/landed/batch={batch}"
-        numbered.drop("_batch").write.mode("overwrite").parquet(landed)
-        merge_into_table(rows.sparkSession.read.parquet(landed), path, batch, key, sticky, partition)
+        numbered.drop("_batch").write.mode("overwrite").parquet(f"{path}/landed")
+        merge_into_table(rows.sparkSession.read.parquet(f"{path}/landed"), path, key, sticky, partition)
 
     return _start(stream, write, checkpoint, available_now)
 
