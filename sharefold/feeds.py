@@ -56,11 +56,18 @@ class FeedSpec:
     counters: tuple[tuple[str, str], ...] = ()  # (our name, envelope name)
     per_share: bool = False
     timeline: bool = False
+    by_day: bool = False  # every run refreshes one day only
 
     @property
     def partition(self) -> str:
-        """Partition column of the stored table; always a function of the key, so a key has one partition."""
-        return "id_range" if self.timeline else self.key[-1]
+        """Partition column of the stored table; always a function of the key, so a key has one partition.
+
+        A feed that refreshes one day has a partition per day. The other dated feeds bring many days in each
+        response and have few rows a day, so theirs are months.
+        """
+        if self.timeline:
+            return "id_range"
+        return self.key[-1] if self.by_day else "month"
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -131,6 +138,7 @@ BASIC_INDEX = FeedSpec(
     ),
     key=("shares_code", "date"),
     sticky=("shares_name", "shares_type"),
+    by_day=True,
 )
 
 MAIN_INFLUX = FeedSpec(

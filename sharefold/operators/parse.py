@@ -167,8 +167,9 @@ def explode_units(pages: DataFrame, units: str = "units", keep_empty: bool = Fal
     """
     kept = [c for c in pages.columns if c != units]
     page = F.get(F.col(units), F.lit(0)) if nested else F.col(units)
-    explode = F.posexplode_outer if keep_empty else F.posexplode
-    return pages.select(*kept, explode(page).alias("unit_pos", "unit"))
+    # The inner form would make Spark test the array's size below the explode and so parse each body again for it.
+    rows = pages.select(*kept, F.posexplode_outer(page).alias("unit_pos", "unit"))
+    return rows if keep_empty else rows.where(F.col("unit_pos").isNotNull())
 
 
 def nonempty_pages(pages: DataFrame, units: str = "units") -> DataFrame:

@@ -30,13 +30,14 @@ def _stored(how: str, item: Column) -> Column:
 
 
 def stored_projection(items: DataFrame, spec: FeedSpec, keep: Iterable[str] = ()) -> DataFrame:
-    """A feed's item rows under the names and types of its stored table; fields that are not stored go."""
+    """A feed's item rows under the names and types of its stored table, with the table's partition column; fields
+    that are not stored go."""
     columns = [_stored(s.how, F.col(s.item)).alias(s.name) for s in spec.stored]
     out = items.select(*columns, *keep)
     if spec.timeline:
         width = F.lit(ID_RANGE_WIDTH)
-        out = out.withColumn("id_range", F.floor(F.col(spec.key[0]) / width).cast("bigint"))
-    return out
+        return out.withColumn("id_range", F.floor(F.col(spec.key[0]) / width).cast("bigint"))
+    return out if spec.by_day else out.withColumn("month", F.trunc(F.col(spec.key[-1]), "month"))
 
 
 def key_rules(spec: FeedSpec) -> dict[str, Column]:

@@ -49,8 +49,10 @@ class FeedRun:
     def parsed(self) -> DataFrame:
         return self.spark.read.parquet(self.parsed_path)
 
-    def table(self) -> DataFrame:
-        return read_stored(self.spark, self.table_path)
+    def table(self) -> DataFrame | None:
+        """The feed's stored table after this run; None when nothing was stored yet."""
+        stored = read_stored(self.spark, self.table_path)
+        return None if stored is None else stored.select(*self.spec.columns)
 
     def items(self) -> DataFrame:
         """Item rows of this batch, for the JSON-lines dump."""

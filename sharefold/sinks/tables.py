@@ -33,6 +33,10 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
 def read_stored(spark: SparkSession, path: str, hidden: bool = False) -> DataFrame | None:
     """The stored table, or None when nothing was stored yet."""
     rows = _read(spark, f"{path}/rows")
+    if rows is None:
+        # A first batch without good rows leaves no partition to read the columns from.
+        merged = _read(spark, f"{path}/merged")
+        rows = None if merged is None else merged.where(F.lit(False))
     return rows if rows is None or hidden else rows.drop(FIRST, LAST)
 
 
