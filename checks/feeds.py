@@ -6,7 +6,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from checks.registry import check, epoch_ms, json_pages, table, text_array
+from checks.registry import check, epoch_ms, json_pages, table, text_array, wide_table
 from sharefold.plans import ingest
 from sharefold.session import scratch_path
 
@@ -84,7 +84,7 @@ def feed_basic_index(spark, sf_dir):
     FROM r JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey, d"""
 )
 def feed_main_influx(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = wide_table(spark, sf_dir, "orders", "o_orderkey")
 
     def unit(day, price):
         numbers = [(F.col("o_orderkey") + i).cast("string") for i in range(1, 10)]
@@ -124,7 +124,7 @@ def feed_financial_notice(spark, sf_dir):
         rows += [F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>")]
     heads = F.repeat(F.lit("<th>h</th>"), F.when(size % 4 == 0, 7).otherwise(8))
     body = utf8('<table id="Table2"><thead><tr>', heads, "</tr></thead><tbody>", F.concat(*rows), "</tbody></table>")
-    part = table(spark, sf_dir, "part")
+    part = wide_table(spark, sf_dir, "part", "p_partkey")
     universe = part.select(F.col("p_partkey").alias("shares_code"), F.col("p_name").alias("shares_name"))
     landing = landed(part, "financial_notice", body, F.col("p_partkey"), share=F.col("p_partkey"))
     run = ingest(landing, "financial_notice", scratch_path(spark, "notice"), 1, universe=universe)
@@ -227,7 +227,7 @@ def feed_share_pledge(spark, sf_dir):
         epoch_ms("l_shipdate").alias("updatedate"),
     )
     body = utf8("var x=", "{pages: 9, data: [", F.to_json(unit), "]}")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     landing = landed(lines, "share_pledge", body, F.col("l_orderkey"), page_no=F.col("l_linenumber"))
     run = ingest(landing, "share_pledge", scratch_path(spark, "pledge"), 1)
     return run.table().select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, table
+from checks.registry import check, table, wide_table
 from sharefold import feeds as fd
 from sharefold.functions import anchor_head, anchor_url, decode_body, url_param
 from sharefold.operators.parse import html_table
@@ -74,7 +74,7 @@ def notices(spark, sf_dir):
         rows,
         F.lit("</tbody></table></body></html>"),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
+    return wide_table(spark, sf_dir, "part", "p_partkey").select("p_partkey", page.alias("html"))
 
 
 @check(
@@ -85,8 +85,9 @@ def notices(spark, sf_dir):
     UNION ALL SELECT p_partkey, 2, NULL, p_retailprice, '', NULL FROM part WHERE p_size % 2 = 0"""
 )
 def html_table_rows(spark, sf_dir):
-    rows = html_table(notices(spark, sf_dir), "html", "Table2", 8, NOTICE_CELLS).where("shape_ok").drop("shape_ok")
-    return rows.withColumn("profit", F.col("profit").try_cast("double"))
+    rows = html_table(notices(spark, sf_dir), "html", "Table2", 8, NOTICE_CELLS)
+    filled = rows.where(F.col("row_pos").isNotNull()).drop("shape_ok")
+    return filled.withColumn("profit", F.col("profit").try_cast("double"))
 
 
 @check(

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharefold.sources import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -27,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows are costly to work on, spread over all cores when its file has few splits."""
+    return spread(table(spark, sf_dir, name), *keys)
+
+
 def epoch_ms(ts: Column | str) -> Column:
     """Epoch ms of a wall-clock column read as UTC."""
     ts = F.col(ts) if isinstance(ts, str) else ts

@@ -55,19 +55,19 @@ def decode_body(body: Column | str, charset: str = "UTF-8", jvm_charsets: bool =
     return _decoder(charset)(body)
 
 
-def _first_match(text: Column, pattern: str) -> Column:
+def first_match(text: Column, pattern: str) -> Column:
     # Unlike regexp_extract this tells "no match" (NULL) from an empty match, and reads a large body only once.
     return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def unwrap_jsonp(text: Column | str) -> Column:
     """What stands between the first ``(`` and the last ``)``; NULL when there is no such pair."""
-    return _first_match(_col(text), r"(?s)^[^(]*\((.*)\)[^)]*$")
+    return first_match(_col(text), r"(?s)^[^(]*\((.*)\)[^)]*$")
 
 
 def unwrap_assignment(text: Column | str) -> Column:
     """What follows the first run of ``=``; NULL when there is none."""
-    return _first_match(_col(text), r"(?s)^[^=]*=+(.*)$")
+    return first_match(_col(text), r"(?s)^[^=]*=+(.*)$")
 
 
 def unescape(text: Column) -> Column:

@@ -24,6 +24,7 @@ from sharefold.functions import (
     zero_if_null,
 )
 from sharefold.functions.clock import MINUTE_PATTERN, SECOND_PATTERN
+from sharefold.functions.text import first_match
 
 LENIENT_JSON = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 
@@ -94,7 +95,7 @@ def _fetched(df: DataFrame) -> Column:
 
 def _table_html(text: Column, table_id: str) -> Column:
     pattern = rf"(?is)<table[^>]*\bid\s*=\s*[\"']?{table_id}[\"']?[^>]*>(.*?)</table>"
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return first_match(text, pattern)
 
 
 def html_rows(table: Column) -> tuple[Column, Column]:

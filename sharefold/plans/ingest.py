@@ -1,8 +1,8 @@
 """One run of one feed: parse once, set bad pages and rows aside, cut, merge.
 
 The parsed rows are written to the store before anything else reads them. Every later step (pages to ask for
-again, rejected rows, the cut, the touched partitions, the merge) starts from that table, so bodies are decoded
-once, no step holds the lineage of the parse, and a lost executor costs no more than its own tasks.
+again, rejected rows, the cut, the touched partitions, the merge) starts from that table and reads the columns it
+needs, so bodies are decoded once and a lost executor never causes a second parse.
 """
 
 from __future__ import annotations
@@ -42,10 +42,6 @@ class FeedRun:
     def parsed_path(self) -> str:
         return f"{self.root}/_parsed/{self.spec.name}/batch={self.batch}"
 
-    @property
-    def judged_path(self) -> str:
-        return f"{self.root}/_judged/{self.spec.name}/batch={self.batch}"
-
     def parsed(self) -> DataFrame:
         return self.spark.read.parquet(self.parsed_path)
 
@@ -64,8 +60,23 @@ class FeedRun:
         pages = self.parsed().where(F.col("page_state") != OK)
         return pages.select("feed", "url", "share_code", "page_no", "fetched_at", "page_state")
 
+    def judged(self, rows: DataFrame | None = None) -> DataFrame:
+        """Stored form of the batch's units with the rules each breaks. Cheap to compute again, so not kept."""
+        spec = self.spec
+        rows = self.parsed() if rows is None else rows
+        units = rows.where((F.col("page_state") == OK) & F.col("unit_pos").isNotNull())
+        if spec.unit == "html":
+            # A notice without a date is no notice: it goes without being counted as a reject.
+            units = units.where(F.coalesce(F.col("announcement_date"), F.lit("")) != "")
+        units = units.withColumn("batch", F.lit(self.batch).cast("bigint"))
+        rules, keep = key_rules(spec), ("url", *ARRIVAL)
+        if spec.per_share:
+            rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
+        return with_reasons(stored_projection(units, spec, keep=keep), rules)
+
     def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(self.judged_path).where(F.col("reject_reason") != "")
+        """Units that could not be stored, with the reason."""
+        return self.judged().where(F.col("reject_reason") != "")
 
     def counters(self) -> DataFrame:
         """Paging counters of this batch's pages, one row per page, for the page plan."""
@@ -137,17 +148,7 @@ def ingest(
     rows = stage_feed(landing, spec, run, universe)
     if spec.timeline:
         rows = _cut(rows, spec, run, mode, as_of_ms, period_days)
-    units = rows.where((F.col("page_state") == OK) & F.col("unit_pos").isNotNull())
-    if spec.unit == "html":
-        # A notice without a date is no notice: it goes without being counted as a reject.
-        units = units.where(F.coalesce(F.col("announcement_date"), F.lit("")) != "")
-    units = units.withColumn("batch", F.lit(batch).cast("bigint"))
-    rules, keep = key_rules(spec), ("url", *ARRIVAL)
-    if spec.per_share:
-        rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
-    judged = with_reasons(stored_projection(units, spec, keep=keep), rules)
-    judged.write.mode("overwrite").parquet(run.judged_path)
-    good = run.spark.read.parquet(run.judged_path).where(F.col("reject_reason") == "")
+    good = run.judged(rows).where(F.col("reject_reason") == "")
     partition = [spec.partition] if spec.partition not in spec.columns else []
     incoming = with_arrival(good, ARRIVAL).select(*spec.columns, *partition, "_first_seq", "_last_seq")
     merge_feed(incoming, run.table_path, spec, extra_keys)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sharefold.feeds import FeedSpec
 from sharefold.operators.merge import FIRST, LAST, upsert
@@ -21,9 +22,10 @@ MERGED, APPLIED = "merged", "applied"
 NAMED_PARTITIONS = 5_000
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The files at ``path``, None when there are none yet; a known schema saves the job that reads it."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -44,9 +46,9 @@ def _note(spark: SparkSession, path: str, step: str) -> None:
     spark.range(1).select(F.lit(step).alias("step")).write.mode("overwrite").parquet(f"{path}/state")
 
 
-def _apply(spark: SparkSession, path: str, partition: str) -> None:
+def _apply(spark: SparkSession, path: str, partition: str, schema: T.StructType | None = None) -> None:
     (
-        spark.read.parquet(f"{path}/merged")
+        _read(spark, f"{path}/merged", schema)
         .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -58,7 +60,7 @@ def _apply(spark: SparkSession, path: str, partition: str) -> None:
 
 def resume(spark: SparkSession, path: str, partition: str) -> bool:
     """Finishes a batch that was merged but not applied; tells whether there was one."""
-    state = _read(spark, f"{path}/state")
+    state = _read(spark, f"{path}/state", T.StructType([T.StructField("step", T.StringType())]))
     left = None if state is None else state.head()
     if left is None or left.step != MERGED:
         return False
@@ -88,12 +90,13 @@ def merge_into_table(
     """
     spark = incoming.sparkSession
     resume(spark, path, partition)
-    stored = read_stored(spark, path, hidden=True)
+    stored = _read(spark, f"{path}/rows", incoming.schema)
     if stored is not None:
         stored = _touched(stored.select(*incoming.columns), incoming, partition)
-    upsert(stored, incoming, key, sticky).write.mode("overwrite").parquet(f"{path}/merged")
+    merged = upsert(stored, incoming, key, sticky)
+    merged.write.mode("overwrite").parquet(f"{path}/merged")
     _note(spark, path, MERGED)
-    _apply(spark, path, partition)
+    _apply(spark, path, partition, merged.schema)
 
 
 def merge_feed(incoming: DataFrame, path: str, spec: FeedSpec, extra_keys: tuple[str, ...] = ()) -> None:
