@@ -33,8 +33,9 @@ def share_universe_query(spark, sf_dir):
     "FROM events GROUP BY event_type"
 )
 def high_water_query(spark, sf_dir):
-    stamped = table(spark, sf_dir, "events").withColumn("minute", F.date_format("ts", MINUTE_PATTERN))
-    return high_water(stamped, "event_type", "event_id", "minute")
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    marks = high_water(table(spark, sf_dir, "events").withColumn("minute", minute), "event_type", "event_id", "minute")
+    return marks.withColumn("max_at", F.date_format("max_at", MINUTE_PATTERN))
 
 
 def daily(spark, sf_dir):

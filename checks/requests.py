@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
-from sharefold.feeds import ANNOUNCEMENT, FINANCIAL_NOTICE, MAIN_INFLUX
+from sharefold.feeds import ANNOUNCEMENT, FINANCIAL_NOTICE, MAIN_INFLUX, NEWS
 from sharefold.functions import query_string
-from sharefold.operators.planning import explode_numbers, fetch_plan, page_plan, pages_of, pending_requests
+from sharefold.operators.planning import explode_numbers, fetch_plan, page_plan, pages_of, pending_requests, remaining_pages
 from sharefold.operators.store import union_pages
 
 BASE = "https://feed.example/list"
@@ -77,3 +77,27 @@ def long_page_runs(spark, sf_dir):
     shares = lines.groupBy("r_name").agg(F.count(F.lit(1)).alias("c"))
     pages = explode_numbers(shares, F.lit(1), F.col("c"), "v")
     return pages.groupBy("r_name").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+@check(
+    f"""
+    WITH line AS (SELECT o_custkey, o_orderstatus, ceil(count(*) OVER (PARTITION BY o_custkey) / 2.0) AS total FROM orders),
+    landed AS (SELECT DISTINCT o_custkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 5 END AS page_no FROM line),
+    plan AS (SELECT o_custkey, unnest(generate_series(1, CAST(total AS BIGINT))) AS page_no FROM (SELECT DISTINCT o_custkey, total FROM line))
+    SELECT 'news' AS feed, CAST(o_custkey AS VARCHAR) AS share_code, page_no, 20 AS page_size,
+      '{BASE}?id=' || o_custkey || '&page=' || page_no AS url
+    FROM plan WHERE NOT EXISTS (SELECT 1 FROM landed WHERE landed.o_custkey = plan.o_custkey AND landed.page_no = plan.page_no)"""
+)
+def remaining_pages_query(spark, sf_dir):
+    """Landed pages announce how many there are; those not landed are asked for."""
+    orders = table(spark, sf_dir, "orders")
+    counts = orders.groupBy("o_custkey").agg(pages_of(F.count(F.lit(1)), 2).alias("total_pages"))
+    status = F.col("o_orderstatus")
+    page = F.when(status == "F", 1).when(status == "O", 2).otherwise(5)
+    landed = orders.select("o_custkey", page.alias("page_no")).distinct().join(counts, "o_custkey")
+    url = query_string(BASE, {"id": F.col("o_custkey"), "page": F.col("page_no")})
+    counters = landed.select(
+        F.lit("news").alias("feed"), url.alias("url"), F.col("o_custkey").cast("string").alias("share_code"),
+        "page_no", "total_pages",
+    )
+    return remaining_pages(counters, NEWS)

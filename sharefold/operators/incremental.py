@@ -36,19 +36,26 @@ def cut_rows(rows: DataFrame, at: str, after: Column) -> DataFrame:
 
 
 def last_pages(bounds: DataFrame, share: str, page: str, stop: Column) -> DataFrame:
-    """Per share the first page on which ``stop`` holds: the last one a reader walking the pages would take."""
-    return bounds.groupBy(share).agg(F.min(F.when(stop, F.col(page))).alias("_last_page"))
+    """Per share the first page on which ``stop`` holds: the last one a reader walking the pages would take.
+
+    ``stop`` is a condition on columns of ``bounds``; ``last_page`` is NULL for a share it never holds on.
+    """
+    return bounds.groupBy(share).agg(F.min(F.when(stop, F.col(page))).alias("last_page"))
+
+
+def keep_pages(rows: DataFrame, last: DataFrame, share: str, page: str) -> DataFrame:
+    """Rows of each share's pages up to and including its last one."""
+    joined = rows.join(last, share, "left")
+    return joined.where(F.col("last_page").isNull() | (F.col(page) <= F.col("last_page"))).drop("last_page")
 
 
 def cut_pages(rows: DataFrame, bounds: DataFrame, share: str, page: str, stop: Column) -> DataFrame:
     """Page-exact cut: rows of every page up to and including the first one on which ``stop`` holds.
 
     A window per share would put a busy share in one task. Two hash aggregates give each share's last page, and
-    that small result is joined back. ``stop`` is a condition on columns of ``bounds``.
+    that small result is joined back.
     """
-    last = last_pages(bounds, share, page, stop)
-    joined = rows.join(last, share, "left")
-    return joined.where(F.col("_last_page").isNull() | (F.col(page) <= F.col("_last_page"))).drop("_last_page")
+    return keep_pages(rows, last_pages(bounds, share, page, stop), share, page)
 
 
 def stop_rule(mode: str, as_of_ms: Column, days: int = PERIOD_DAYS, cutoff: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from string import Formatter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharefold.feeds import FeedSpec
@@ -114,6 +114,39 @@ def _pages(pages: Column | int) -> Column:
     return (pages if isinstance(pages, Column) else F.lit(pages)).cast("bigint").alias("_pages")
 
 
+def first_request(spark: SparkSession, spec: FeedSpec, base: str, **values: object) -> DataFrame:
+    """Request for the first page of a feed that is not asked for share by share."""
+    return spark.range(1).select(
+        F.lit(spec.name).alias("feed"),
+        F.lit(None).cast("string").alias("share_code"),
+        F.lit(1).cast("bigint").alias("page_no"),
+        F.lit(spec.page_size).alias("page_size"),
+        request_url(spec, base, 1, **values).alias("url"),
+    )
+
+
+def remaining_pages(counters: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Requests for the pages that landed pages announce and that have not landed themselves.
+
+    ``counters`` has one row per landed page, as ``FeedRun.counters`` gives it. Only the highest page count of each
+    share goes on, with one of its addresses as the pattern.
+    """
+    total = F.col("total_pages")
+    if spec.counters and spec.counters[0][0] == "total_rows":
+        total = pages_of(F.col("total_rows"), F.lit(spec.page_size))
+    known = counters.withColumn("share_code", F.coalesce("share_code", F.lit("")))
+    shares = known.groupBy("feed", "share_code").agg(F.max(total).alias("_total"), F.min("url").alias("url"))
+    plan = explode_numbers(shares, F.lit(1), F.col("_total"), "page_no").drop("_total")
+    pending = pending_requests(plan, known, ["feed", "share_code", "page_no"])
+    return pending.select(
+        "feed",
+        F.nullif(F.col("share_code"), F.lit("")).alias("share_code"),
+        "page_no",
+        F.lit(spec.page_size).alias("page_size"),
+        url_param("url", spec.page_param, F.col("page_no")).alias("url"),
+    )
+
+
 def pending_requests(plan: DataFrame, landed: DataFrame, on: Sequence[str]) -> DataFrame:
     """Requests with no good response yet. Landed keys are made distinct first, so repeats do not travel."""
     return plan.join(landed.select(*on).distinct(), list(on), "left_anti")

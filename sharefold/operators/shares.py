@@ -33,6 +33,13 @@ def share_universe(
     return out.orderBy(code) if ordered else out
 
 
+def require_shares(universe: DataFrame) -> DataFrame:
+    """The universe itself; an empty one is an error, for nothing could be asked for."""
+    if universe.isEmpty():
+        raise ValueError("the share universe is empty")
+    return universe
+
+
 def high_water(table: DataFrame, code: str, ident: str, at: str) -> DataFrame:
     """Highest id and latest time per code. The cut uses the time; the id is for reports."""
     return table.groupBy(code).agg(F.max(ident).alias("max_id"), F.max(at).alias("max_at"))

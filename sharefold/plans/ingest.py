@@ -18,9 +18,9 @@ from sharefold.functions.clock import wall_clock_to_epoch_ms
 from sharefold.operators import incremental as inc
 from sharefold.operators.merge import with_arrival
 from sharefold.operators.parse import OK, parse_feed
-from sharefold.operators.shares import enrich_share, high_water, with_cutoff
+from sharefold.operators.shares import enrich_share, high_water, require_shares, with_cutoff
 from sharefold.operators.store import key_rules, stored_projection, with_reasons
-from sharefold.sinks.tables import merge_feed, read_stored
+from sharefold.sinks.tables import merge_feed, pin, read_stored
 
 ARRIVAL = ("batch", "fetched_at", "page_no", "unit_pos")
 
@@ -42,6 +42,9 @@ class FeedRun:
     def parsed_path(self) -> str:
         return f"{self.root}/_parsed/{self.spec.name}/batch={self.batch}"
 
+    def lookup_path(self, name: str) -> str:
+        return f"{self.root}/_lookups/{self.spec.name}/{name}/batch={self.batch}"
+
     def parsed(self) -> DataFrame:
         return self.spark.read.parquet(self.parsed_path)
 
@@ -98,6 +101,7 @@ def stage_feed(
             F.col("shares_name").alias("name"),
             F.lit(True).alias("share_known"),
         )
+        names = require_shares(pin(names, run.lookup_path("shares")))
         rows = enrich_share(rows, names, how="left")
     rows.write.mode("overwrite").parquet(run.parsed_path)
     return run.parsed()
@@ -123,7 +127,8 @@ def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int |
             )
             bounds = with_cutoff(bounds, marks, "share_code", "mark", default)
         stop = inc.stop_rule(mode, now, days, F.col("cutoff"))
-    return inc.cut_pages(rows, bounds, "share_code", "page_no", stop)
+    last = pin(inc.last_pages(bounds, "share_code", "page_no", stop), run.lookup_path("last_pages"))
+    return inc.keep_pages(rows, last, "share_code", "page_no")
 
 
 def ingest(

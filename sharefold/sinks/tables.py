@@ -49,7 +49,6 @@ def _note(spark: SparkSession, path: str, step: str) -> None:
 def _apply(spark: SparkSession, path: str, partition: str, schema: T.StructType | None = None) -> None:
     (
         _read(spark, f"{path}/merged", schema)
-        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -68,6 +67,13 @@ def resume(spark: SparkSession, path: str, partition: str) -> bool:
     return True
 
 
+def pin(small: DataFrame, path: str) -> DataFrame:
+    """A look-up written out and read back, so that Spark knows its size when it plans a join with it: it
+    broadcasts the look-up only below the session's threshold, and shuffles otherwise."""
+    small.write.mode("overwrite").parquet(path)
+    return small.sparkSession.read.schema(small.schema).parquet(path)
+
+
 def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
     values = incoming.select(partition).distinct()
     found = [r[0] for r in values.limit(NAMED_PARTITIONS + 1).collect()]
@@ -94,7 +100,8 @@ def merge_into_table(
     if stored is not None:
         stored = _touched(stored.select(*incoming.columns), incoming, partition)
     merged = upsert(stored, incoming, key, sticky)
-    merged.write.mode("overwrite").parquet(f"{path}/merged")
+    # Rows of one partition come together here, a large one in several tasks, so replacing needs no further shuffle.
+    merged.hint("rebalance", partition).write.mode("overwrite").parquet(f"{path}/merged")
     _note(spark, path, MERGED)
     _apply(spark, path, partition, merged.schema)
 

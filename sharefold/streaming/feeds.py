@@ -43,15 +43,17 @@ def stream_upsert(
     partition: str,
     order: Sequence[str],
     available_now: bool = True,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Merges each micro-batch into the table at ``path``.
 
     A micro-batch is written once below ``path`` and merged from there. Its number leads the arrival order, so a
-    batch that is delivered again after a failure changes nothing.
+    batch that is delivered again after a failure changes nothing. A stream that starts over with a new checkpoint
+    on an old table needs ``first_batch`` above the batches that table has seen.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
-        numbered = with_arrival(rows.withColumn("_batch", F.lit(batch).cast("bigint")), ["_batch", *order])
+        numbered = with_arrival(rows.withColumn("_batch", F.lit(first_batch + batch).cast("bigint")), ["_batch", *order])
         numbered.drop("_batch").write.mode("overwrite").parquet(f"{path}/landed")
         merge_into_table(rows.sparkSession.read.parquet(f"{path}/landed"), path, key, sticky, partition)
 
@@ -65,11 +67,12 @@ def stream_feed(
     checkpoint: str,
     universe: DataFrame | None = None,
     available_now: bool = True,
+    first_batch: int = 0,
     **options: object,
 ) -> StreamingQuery:
-    """Runs ``ingest`` on each micro-batch of a landing stream."""
+    """Runs ``ingest`` on each micro-batch of a landing stream; ``first_batch`` as in ``stream_upsert``."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        ingest(rows, feed_name, root, batch, universe=universe, **options)
+        ingest(rows, feed_name, root, first_batch + batch, universe=universe, **options)
 
     return _start(landing, write, checkpoint, available_now)
