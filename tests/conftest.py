@@ -4,7 +4,8 @@ from datetime import datetime, timezone
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from sharefold.session import build_session  # noqa: E402
 from sharefold.sources import LANDING_SCHEMA  # noqa: E402
