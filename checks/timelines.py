@@ -74,6 +74,6 @@ def incremental_newest(spark, sf_dir):
     marks = high_water(seen, "user_id", "event_id", "ms")
     now = F.lit(AS_OF_MS)
     bounds = inc.page_bounds(rows, "user_id", "page_no", "ms")
-    bounds = with_cutoff(bounds, marks, "user_id", "max_at", inc.period_start(now, LOOKBACK_DAYS))
+    bounds = with_cutoff(bounds, marks, "user_id", "max_at", inc.period_start(now, LOOKBACK_DAYS), salt="page_no")
     stop = inc.stop_rule("newest", now, cutoff=F.col("cutoff"))
     return inc.cut_pages(rows, bounds, "user_id", "page_no", stop).select("event_id", "user_id", "page_no")

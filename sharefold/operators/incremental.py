@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sharefold.operators.lookup import look_up
+
 # Fixed value: the period of the period cut, and the default cut of a share without stored rows.
 PERIOD_DAYS = 90
 DAY_MS = 86_400_000
@@ -43,9 +45,9 @@ def last_pages(bounds: DataFrame, share: str, page: str, stop: Column) -> DataFr
     return bounds.groupBy(share).agg(F.min(F.when(stop, F.col(page))).alias("last_page"))
 
 
-def keep_pages(rows: DataFrame, last: DataFrame, share: str, page: str) -> DataFrame:
-    """Rows of each share's pages up to and including its last one."""
-    joined = rows.join(last, share, "left")
+def keep_pages(rows: DataFrame, last: DataFrame, share: str, page: str, salted: bool = False) -> DataFrame:
+    """Rows of each share's pages up to and including its last one; ``salted`` when ``last`` is not a written table."""
+    joined = look_up(rows, last, share, salt=page if salted else None)
     return joined.where(F.col("last_page").isNull() | (F.col(page) <= F.col("last_page"))).drop("last_page")
 
 
@@ -55,7 +57,7 @@ def cut_pages(rows: DataFrame, bounds: DataFrame, share: str, page: str, stop: C
     A window per share would put a busy share in one task. Two hash aggregates give each share's last page, and
     that small result is joined back.
     """
-    return keep_pages(rows, last_pages(bounds, share, page, stop), share, page)
+    return keep_pages(rows, last_pages(bounds, share, page, stop), share, page, salted=True)
 
 
 def stop_rule(mode: str, as_of_ms: Column, days: int = PERIOD_DAYS, cutoff: Column | None = None) -> Column:

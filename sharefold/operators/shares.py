@@ -1,17 +1,12 @@
-"""Share universe, high-water marks and look-ups.
-
-The joins carry no hints. Spark broadcasts the share side only when its measured size is under the session's
-threshold, at planning for stored tables and at run time for computed ones; beyond it the join is shuffled and
-adaptive execution splits a share that holds too many rows.
-"""
+"""Share universe, high-water marks and what rows take from them."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sharefold.operators.lookup import look_up
+
 
 def share_universe(
     index: DataFrame,
@@ -46,13 +41,21 @@ def high_water(table: DataFrame, code: str, ident: str, at: str) -> DataFrame:
 
 
 def enrich_share(
-    rows: DataFrame, universe: DataFrame, on: Sequence[str] | str = "share_code", how: str = "inner"
+    rows: DataFrame, universe: DataFrame, on: str = "share_code", how: str = "inner", salt: str | None = None
 ) -> DataFrame:
     """Rows with the columns of their share; rows of unknown shares go, or stay unfilled with ``how="left"``."""
-    return rows.join(universe, on, how)
+    return look_up(rows, universe, on, how, salt)
 
 
-def with_cutoff(rows: DataFrame, marks: DataFrame, on: str, mark: str, default: Column, name: str = "cutoff") -> DataFrame:
+def with_cutoff(
+    rows: DataFrame,
+    marks: DataFrame,
+    on: str,
+    mark: str,
+    default: Column,
+    name: str = "cutoff",
+    salt: str | None = None,
+) -> DataFrame:
     """Rows with their share's mark as ``name``; ``default`` where the share has none."""
-    joined = rows.join(marks.select(on, F.col(mark).alias("_mark")), on, "left")
+    joined = look_up(rows, marks.select(on, F.col(mark).alias("_mark")), on, salt=salt)
     return joined.withColumn(name, F.coalesce("_mark", default)).drop("_mark")

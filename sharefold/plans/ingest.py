@@ -125,7 +125,7 @@ def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int |
             marks = high_water(stored, "shares_code", spec.key[0], at).select(
                 F.col("shares_code").alias("share_code"), wall_clock_to_epoch_ms(F.col("max_at")).alias("mark")
             )
-            bounds = with_cutoff(bounds, marks, "share_code", "mark", default)
+            bounds = with_cutoff(bounds, marks, "share_code", "mark", default, salt="page_no")
         stop = inc.stop_rule(mode, now, days, F.col("cutoff"))
     last = pin(inc.last_pages(bounds, "share_code", "page_no", stop), run.lookup_path("last_pages"))
     return inc.keep_pages(rows, last, "share_code", "page_no")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sharefold.operators import incremental as inc
+from sharefold.operators.lookup import look_up
 from sharefold.plans import ingest
 
 
@@ -114,3 +115,13 @@ def test_one_busy_share_keeps_every_row(spark):
         if s not in ends or p <= ends[s]:
             want[s] = want.get(s, 0) + 1
     assert per == want
+
+
+def test_salted_look_up_equals_the_plain_one(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).alias("share"), F.col("id").alias("page"))
+    small = spark.createDataFrame([(s, s * 10) for s in range(5)], "share long, mark long")
+    for how in ("left", "inner"):
+        plain = look_up(rows, small, "share", how)
+        salted = look_up(rows, small, "share", how, salt="page")
+        assert plain.columns == salted.columns
+        assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
