@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, epoch_ms, table
+from checks.registry import check, epoch_ms, table, wide_table
 from sharefold.feeds import ANNOUNCEMENT, SHARE_BUYBACK
 from sharefold.functions import (
     bj_to_epoch,
@@ -155,7 +155,8 @@ def key_rename(spark, sf_dir):
         )
     )
     body = F.concat(F.lit("{pages: 1, data: ["), unit, F.lit("]}"))
-    pages = table(spark, sf_dir, "events").select(lenient_json(body, envelope_schema(SHARE_BUYBACK)).alias("e"))
+    events = wide_table(spark, sf_dir, "events", "event_id")
+    pages = events.select(lenient_json(body, envelope_schema(SHARE_BUYBACK)).alias("e"))
     units = explode_units(pages.select(F.col("e.data").alias("units")))
     items = project_keys(units, SHARE_BUYBACK.fields)
     return items.select("symbol", "name", "buyback_price_range_right", "announcement_date", "begin_date")

@@ -34,7 +34,7 @@ def decode_utf8(spark, sf_dir):
     FROM tags"""
 )
 def anchor_split(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(
+    pages = wide_table(spark, sf_dir, "pages", "page_id").select(
         "page_id", anchor_head("html").alias("head"), anchor_url("html").alias("url")
     )
     return pages.select(

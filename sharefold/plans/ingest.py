@@ -103,8 +103,7 @@ def stage_feed(
         )
         names = require_shares(pin(names, run.lookup_path("shares")))
         rows = enrich_share(rows, names, how="left")
-    rows.write.mode("overwrite").parquet(run.parsed_path)
-    return run.parsed()
+    return pin(rows, run.parsed_path)
 
 
 def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int | None, days: int) -> DataFrame:
