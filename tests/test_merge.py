@@ -124,3 +124,22 @@ def test_fold_combines_before_the_shuffle(spark):
     plan = upsert(None, make(spark, some_rows(1)), ["code", "day"], ["name"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and "partial_min" in text and "Window" not in text
+
+
+def test_stored_side_is_shuffled_once_and_not_folded(spark, tmp_path):
+    rows = some_rows(1)
+    upsert(None, make(spark, rows[:100]), ["code", "day"], ["name"]).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    plan = upsert(stored, make(spark, rows[100:]), ["code", "day"], ["name"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    left = text.split("FileScan")[0]
+    assert "FullOuter" in text and "Cartesian" not in text and "NestedLoop" not in text
+    assert left.count("Exchange") == 1 and "Aggregate" not in left
+
+
+def test_missing_key_part_is_one_key(spark):
+    rows = [(1, 1, None, "2018-08-01", "n", 1.0)]
+    again = [(2, 1, None, "2018-08-01", "m", 2.0)]
+    key, sticky = ["code", "day"], ["name"]
+    table = upsert(upsert(None, make(spark, rows), key, sticky), make(spark, again), key, sticky)
+    assert state(table) == {(None, "2018-08-01"): ("n", 2.0)}
