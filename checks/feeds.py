@@ -240,13 +240,13 @@ def feed_share_pledge(spark, sf_dir):
     """
     SELECT CAST(o_custkey AS VARCHAR) AS shares_code, CAST(o_orderdate AS DATE) AS circulation_date,
       arg_min(o_orderpriority, o_orderkey) AS shares_name, max(o_orderkey) AS shareholders_num,
-      round(arg_max(o_totalprice / 1e9, o_orderkey) * 100, 9) AS equity_ratio,
+      round(arg_max(o_totalprice / 1e9 * CASE WHEN o_totalprice / 1e9 >= 1e-4 THEN 100 ELSE 1 END, o_orderkey), 12) AS equity_ratio,
       CASE WHEN arg_max(o_orderstatus, o_orderkey) = 'P' THEN arg_max(o_custkey, o_orderkey)::DOUBLE
         ELSE round(arg_max(o_totalprice, o_orderkey) * 100, 6) END AS share_ratio
-    FROM orders WHERE o_totalprice >= 100000 GROUP BY o_custkey, CAST(o_orderdate AS DATE)"""
+    FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)"""
 )
 def feed_restricted_release(spark, sf_dir):
-    """Ratios as JSON numbers: small fractions (printed with an exponent) are scaled, whole numbers are not."""
+    """Ratios as JSON numbers: fractions from 1e-4 on are scaled, smaller ones and whole numbers are not."""
     status = F.col("o_orderstatus")
     share = F.when(status == "P", text("o_custkey")).otherwise(text("o_totalprice"))
     parts = [
@@ -255,14 +255,14 @@ def feed_restricted_release(spark, sf_dir):
         ", zzb: ", (F.col("o_totalprice") / F.lit(1e9)).cast("string"), ", zb: ", share, "}",
     ]
     unit = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    orders = table(spark, sf_dir, "orders").where(F.col("o_totalprice") >= 100000)
+    orders = table(spark, sf_dir, "orders")
     pages = json_pages(orders, F.floor(F.col("o_orderkey") / 20), "o_orderkey", unit)
     body = utf8("var x=", "{pages: 9, data: [", F.concat_ws(",", "units"), "]}")
     landing = landed(pages, "restricted_release", body, F.col("page"))
     run = ingest(landing, "restricted_release", scratch_path(spark, "restricted"), 1)
     return run.table().select(
         "shares_code", "circulation_date", "shares_name", "shareholders_num",
-        F.round("equity_ratio", 9).alias("equity_ratio"), F.round("share_ratio", 6).alias("share_ratio"),
+        F.round("equity_ratio", 12).alias("equity_ratio"), F.round("share_ratio", 6).alias("share_ratio"),
     )
 
 

@@ -46,6 +46,8 @@ NOTICE_CELLS = {
     "content": (2, fd.CELL_SPAN),
     "profit": (3, fd.CELL_TEXT),
     "increase": (4, fd.CELL_SPANS),
+    "increase_from": (4, fd.CELL_LEFT),
+    "increase_to": (4, fd.CELL_RIGHT),
     "day": (8, fd.CELL_SPAN),
 }
 
@@ -80,9 +82,11 @@ def notices(spark, sf_dir):
 @check(
     """
     SELECT p_partkey, 0 AS row_pos, p_name AS content, CAST(p_retailprice AS DOUBLE) AS profit,
-      CAST(p_size AS VARCHAR) AS increase, '2018-08-10' AS day FROM part WHERE p_size % 2 = 0
-    UNION ALL SELECT p_partkey, 1, p_name, p_retailprice, CAST(p_retailprice AS VARCHAR), '2018-08-11' FROM part WHERE p_size % 2 = 0
-    UNION ALL SELECT p_partkey, 2, NULL, p_retailprice, '', NULL FROM part WHERE p_size % 2 = 0"""
+      CAST(p_size AS VARCHAR) AS increase, CAST(p_size AS VARCHAR) AS increase_from, '' AS increase_to,
+      '2018-08-10' AS day FROM part WHERE p_size % 2 = 0
+    UNION ALL SELECT p_partkey, 1, p_name, p_retailprice, CAST(p_retailprice AS VARCHAR), CAST(p_size AS VARCHAR),
+      CAST(p_retailprice AS VARCHAR), '2018-08-11' FROM part WHERE p_size % 2 = 0
+    UNION ALL SELECT p_partkey, 2, NULL, p_retailprice, '', '', '', NULL FROM part WHERE p_size % 2 = 0"""
 )
 def html_table_rows(spark, sf_dir):
     rows = html_table(notices(spark, sf_dir), "html", "Table2", 8, NOTICE_CELLS)

@@ -15,6 +15,7 @@ SECOND_STAMP, MINUTE_STAMP = "second_stamp", "minute_stamp"
 HEAD, LINK, CONSTANT, SHARE_CODE, SHARE_NAME = "head", "link", "constant", "share_code", "share_name"
 # Kinds of table cells.
 CELL_TEXT, CELL_SPAN, CELL_SPANS = "cell_text", "cell_span", "cell_spans"
+CELL_LEFT, CELL_RIGHT = "cell_left", "cell_right"
 # Ways a stored column is derived from an item field.
 SAME, DATE_AT_SPACE, DATE_AT_T, LABEL, LOCAL_MINUTE = "same", "date_at_space", "date_at_t", "label", "local_minute"
 

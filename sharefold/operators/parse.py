@@ -157,6 +157,11 @@ def _cell(cells: Column, number: int, kind: str) -> Column:
     spans = span_texts(cell)
     if kind == fd.CELL_SPAN:
         return F.get(spans, F.lit(0))
+    # Both ends of a range: one span is its left end, of two the second is its right end.
+    if kind == fd.CELL_LEFT:
+        return F.when(F.size(spans).isin(1, 2), F.element_at(spans, 1)).otherwise(F.lit(""))
+    if kind == fd.CELL_RIGHT:
+        return F.when(F.size(spans) == 2, F.element_at(spans, 2)).otherwise(F.lit(""))
     # One span is the value; of two, the last one stands; any other number leaves it empty.
     return F.when(F.size(spans).isin(1, 2), F.element_at(spans, -1)).otherwise(F.lit(""))
 
