@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.language import fit_language_model, identify_languages
 from sharefold.llm.registry import QUERIES, SQL, query, table
 
@@ -18,3 +24,28 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language_model(docs.where(~held_out))
     found = identify_languages(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "_language.lang_pred", "_language.score")
+
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Ids never leave the task: one pass encodes, decodes and takes both digests."""
+    tokenizer = share_tokenizer(spark, vocabulary or public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def digests(texts: pa.Array) -> pa.Array:
+        rows = []
+        for start in range(0, len(texts), 256):
+            ids, counts = tokenizer.value.encode(texts.slice(start, 256).to_pylist())
+            for own in np.split(ids, np.cumsum(counts)[:-1]):
+                packed = hashlib.sha256(own.astype("<u4").tobytes()).hexdigest()
+                plain = hashlib.sha256(tokenizer.value.decode(own)).hexdigest()
+                rows.append((len(own), packed, plain))
+        names = ("n_tokens", "ids_sha256", "decoded_sha256")
+        return pa.array([dict(zip(names, r, strict=True)) for r in rows], digest_type)
+
+    digest_type = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    docs = table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("d"))
+    return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
