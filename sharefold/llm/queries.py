@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharefold.llm.bpe import share_tokenizer
+from sharefold.llm.chat import format_turns, read_piece, unescape
 from sharefold.llm.language import fit_language_model, identify_languages
+from sharefold.llm.quality import COUNTS, judge, measure
 from sharefold.llm.registry import QUERIES, SQL, query, table
+from sharefold.session import scratch_path
+from sharefold.sinks import pin
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -49,3 +53,79 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     digest_type = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
     docs = table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("d"))
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
+CHAT_RESULT = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+CHAT_KEYS = [n.split(" ")[0] for n in CHAT_RESULT.split(", ")]
+
+
+def digest_conversations(batches):
+    """Reads formatted turns back, sorted by conversation and place; a conversation is hashed as it streams by."""
+    key, state = object(), None
+
+    def row():
+        turns, spoken, n, chars, formatted = state
+        return dict(zip(CHAT_KEYS, (key, n, turns.hexdigest(), chars, spoken.hexdigest(), formatted), strict=True))
+
+    schema = pa.schema([(n, pa.string() if n.endswith("sha256") else pa.int64()) for n in CHAT_KEYS])
+    for batch in batches:
+        done = []
+        for conv, piece, start, long in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if state is None or conv != key:
+                if state is not None:
+                    done.append(row())
+                key, state = conv, [hashlib.sha256(), hashlib.sha256(), 0, 0, 0]
+            role, body = read_piece(piece)
+            state[0].update(f"{unescape(role)}\n{unescape(body)}\n".encode())
+            if long:
+                said = unescape(piece[start : start + long])
+                state[1].update(said.encode())
+                state[3] += len(said)
+            state[2] += 1
+            state[4] += len(piece)
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema)
+    if state is not None:
+        yield pa.RecordBatch.from_pylist([row()], schema)
+
+
+@query()
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    columns = ("conv_id", "turn", "role", "text")
+    turns = table(spark, sf_dir, "conversations").select(*columns).union(extra.select(*columns))
+    pieces = format_turns(turns).select(*columns, "_chat.piece", "_chat.loss_start", "_chat.loss_chars")
+    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
+    return ordered.select("conv_id", "piece", "loss_start", "loss_chars").mapInArrow(digest_conversations, CHAT_RESULT)
+
+
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+v AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM (SELECT doc_id, i, unnest(range(8)) AS o FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+m AS (SELECT doc_id, sum(c - 1) AS n FROM (SELECT doc_id, line, count(*) AS c FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line) GROUP BY doc_id),
+c AS (SELECT d.doc_id, nullif(source, '') AS host, len(w)::BIGINT AS n_words,
+        length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(m.n, 0)::BIGINT AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN m ON d.doc_id = m.doc_id LEFT JOIN v ON d.doc_id = v.doc_id),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        10 * n_symbols > n_words OR 2 * n_dup_lines > greatest(n_words / 20, 1)
+        OR word_chars < 2 * n_words OR word_chars > 20 * n_words AS other_failed FROM c),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (base_failed OR other_failed) AS k FROM f WHERE host IS NOT NULL GROUP BY host),
+s AS (SELECT sum(k) / sum(n) AS mean, sum(n * (k / n) * (k / n)) / sum(n) AS square, count(*) / sum(n) AS noise FROM h),
+p AS (SELECT mean, least(greatest(mean * (1 - mean) / greatest(square - mean * mean - mean * (1 - mean) * noise, 1e-6) - 1, 2), 10000) AS weight FROM s),
+o AS (SELECT host, (k + (SELECT mean * weight FROM p)) / (n + (SELECT weight FROM p)) <= 0.5 AS ok FROM h)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(ok, TRUE) AS kept
+FROM f LEFT JOIN o ON f.host = o.host
+"""
+
+
+@query(QUALITY_SQL)
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    counted = pin(measure(docs), scratch_path(spark, "quality"))
+    return judge(counted).select("doc_id", *COUNTS, "base_failed", "kept")
