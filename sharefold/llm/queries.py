@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.chat import format_turns, read_piece, unescape
+from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
 from sharefold.llm.language import fit_language_model, identify_languages
+from sharefold.llm.line_dedup import dedup_lines
 from sharefold.llm.quality import COUNTS, judge, measure
 from sharefold.llm.registry import QUERIES, SQL, query, table
 from sharefold.session import scratch_path
@@ -129,3 +131,38 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     counted = pin(measure(docs), scratch_path(spark, "quality"))
     return judge(counted).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def contamination_sql() -> str:
+    """The same overlaps over the words themselves, a mask at a time."""
+    joins = " UNION ALL ".join(
+        f"SELECT d.doc_id, d.w AS dw, d.p AS dp, i.item_id, i.w AS iw, i.p AS ip FROM dp d JOIN ip i ON "
+        + " AND ".join(f"d.w[d.p + {o}] = i.w[i.p + {o}]" for o in mask)
+        for mask in MASKS
+    )
+    share = ", ".join(
+        f"CASE WHEN {s} <= least({MIN_WORDS}, len(iw)) - {SPAN} THEN list_sum(list_transform(range(0, least({MIN_WORDS}, len(iw))), "
+        f"lambda k: CASE WHEN dp - {s} + k > 0 AND ip - {s} + k > 0 AND dw[dp - {s} + k] = iw[ip - {s} + k] THEN 1 ELSE 0 END)) ELSE 0 END"
+        for s in range(MIN_WORDS - SPAN + 1)
+    )
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS w FROM documents), i AS (SELECT item_id, {words} AS w FROM benchmark),
+dp AS (SELECT doc_id, w, unnest(range(1, len(w) - {SPAN - 2})) AS p FROM d),
+ip AS (SELECT item_id, w, unnest(range(1, len(w) - {SPAN - 2})) AS p FROM i),
+hits AS ({joins}),
+judged AS (SELECT doc_id, item_id, dp, greatest({share}) / least({MIN_WORDS}, len(iw))::DOUBLE AS share FROM hits)
+SELECT doc_id, item_id, count(*)::BIGINT AS n_seeds, max(share) AS similarity, (min(dp) - 1)::BIGINT AS first_word,
+  (max(dp) + {SPAN - 2})::BIGINT AS last_word FROM judged WHERE share >= {MIN_SHARE} GROUP BY doc_id, item_id"""
+
+
+@query(contamination_sql())
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return overlaps(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", F.col("_removed").alias("n_removed"), "text")
