@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sharefold.llm.filters import HashFilter
+
 # The token places each mask compares, within SPAN tokens; the other places may differ. Together they
 # meet 60 of the 78 placings of two substitutions in a window of MIN_WORDS tokens.
 SPAN = 11
@@ -47,18 +49,6 @@ def seeds(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def seed_filter(item_seeds: DataFrame, bits: int) -> Column:
-    """A bit for each seed of the items, as an array of fixed size: a one-row query, used as a scalar."""
-    spark = item_seeds.sparkSession
-    slot = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-    words = item_seeds.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(seed & 63 as int)))").alias("w")
-    )
-    every = spark.range(1 << (bits - 6)).join(words, F.col("id") == F.col("word"), "left")
-    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0)).alias("w"))))
-    return every.agg(F.transform(ordered, lambda x: x["w"]).alias("words")).scalar()
-
-
 def overlaps(
     docs: DataFrame,
     items: DataFrame,
@@ -77,10 +67,9 @@ def overlaps(
     are not read. Rows that repeat a key are taken together.
     """
     item_seeds = seeds(items.select(F.col(item_key).alias("_item"), token_hashes(F.col(text)).alias("hashes")), "_item")
-    bits = seed_filter(item_seeds, filter_bits)
+    known = HashFilter(item_seeds, "seed", filter_bits)
     doc_seeds = seeds(docs.select(F.col(doc_key).alias("_doc"), token_hashes(F.col(text)).alias("hashes")), "_doc")
-    slot = F.col("seed").bitwiseAND(F.lit((1 << filter_bits) - 1))
-    likely = doc_seeds.where(F.getbit(F.get(bits, F.shiftright(slot, 6).cast("int")), F.col("seed").bitwiseAND(F.lit(63)).cast("int")) == 1)
+    likely = doc_seeds.where(known.likely(F.col("seed")))
     hits = likely.select("_doc", "pos", "seed", F.col("lead").alias("dl"), F.col("near").alias("dn")).join(
         item_seeds.select("_item", "seed", F.col("lead").alias("il"), F.col("near").alias("ir"), "size"), "seed"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.chat import format_turns, read_piece, unescape
 from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
+from sharefold.llm.jaccard import jaccard_components
 from sharefold.llm.language import fit_language_model, identify_languages
 from sharefold.llm.line_dedup import dedup_lines
 from sharefold.llm.quality import COUNTS, judge, measure
@@ -166,3 +167,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", F.col("_removed").alias("n_removed"), "text")
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM d),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT a AS x, a AS y FROM l UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, coalesce(min(r.y), s.doc_id) AS component_id
+FROM s LEFT JOIN r ON s.doc_id = r.x GROUP BY s.doc_id, s.s
+"""
+
+
+@query(JACCARD_SQL)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
