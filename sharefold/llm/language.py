@@ -25,9 +25,7 @@ def sample_windows(docs: DataFrame, text: str, lang: str, key: str, per_language
     """
     known = docs.where(F.col(lang).isNotNull() & F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
     counts = known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    if not counts:
-        raise ValueError("no labelled text to learn a language from")
-    rate = F.create_map(*[F.lit(v) for r in counts for v in (r[0], per_language / r[1])])[F.col(lang)]
+    rate = F.create_map(*[F.lit(v) for r in counts for v in (r[0], per_language / r[1])])[F.col(lang)] if counts else F.lit(0.0)
     draw = F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1_000_000)) / 1_000_000
     span = F.greatest(F.length(text) - window, F.lit(0)) + 1
     start = F.pmod(F.xxhash64(F.lit("start"), key), span.cast("long")) + 1
@@ -43,7 +41,7 @@ def fit_language_model(
     key: str = "doc_id",
     per_language: int = SAMPLE_PER_LANGUAGE,
     window: int = WINDOW,
-) -> ByteConvNet:
+) -> ByteConvNet | None:
     """Trains the network on labelled text.
 
     Rows without language, without text or without a letter teach nothing. ``per_language`` bounds what comes to the
@@ -52,6 +50,8 @@ def fit_language_model(
     """
     found = sample_windows(docs, text, lang, key, per_language, window).limit(4 * per_language * MAX_LANGUAGES)
     pairs = sorted({(r.window, r.lang) for r in found.collect()})
+    if not pairs:
+        return None
     labels = sorted({p[1] for p in pairs})
     # Short texts are common, so each window is also seen as its first quarter and its first eighth.
     rows = [(t[:n].encode()[:window], labels.index(k)) for t, k in pairs for n in (window, window // 4, window // 8)]
@@ -59,10 +59,10 @@ def fit_language_model(
     return ByteConvNet(labels).fit(x, np.array([y for _, y in rows]))
 
 
-def language_column(model: ByteConvNet, text: str = "text", window: int = WINDOW) -> Column:
+def language_column(model: ByteConvNet | None, text: str = "text", window: int = WINDOW) -> Column:
     """struct<lang_pred, score> of a text column: every window of the whole text is classified, and the mean of the
     windows' probabilities, weighted by their bytes, decides; the first label in order wins a tie. A null text and
-    one without letters give ``und`` and score 0."""
+    one without letters give ``und`` and score 0, and so does every text where there is no model."""
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def classify(texts: pa.Array) -> pa.Array:
@@ -77,6 +77,8 @@ def language_column(model: ByteConvNet, text: str = "text", window: int = WINDOW
 
     has_letters = F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}")
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    if model is None:
+        return unknown
     return F.when(has_letters, classify(F.when(has_letters, F.col(text)))).otherwise(unknown)
 
 
@@ -90,6 +92,6 @@ def probabilities(model: ByteConvNet, texts: list[bytes], window: int) -> np.nda
     return summed / summed.sum(axis=1, keepdims=True)
 
 
-def identify_languages(docs: DataFrame, model: ByteConvNet, text: str = "text") -> DataFrame:
+def identify_languages(docs: DataFrame, model: ByteConvNet | None, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``_language`` (lang_pred, score); rows, order and other columns stay."""
     return docs.withColumn("_language", language_column(model, text))
