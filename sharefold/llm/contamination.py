@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sharefold.llm.filters import HashFilter
+from sharefold.session import scratch_path
+from sharefold.sinks import pin
 
 # The token places each mask compares, within SPAN tokens; the other places may differ. Together they
 # meet 60 of the 78 placings of two substitutions in a window of MIN_WORDS tokens.
@@ -67,6 +69,8 @@ def overlaps(
     are not read. Rows that repeat a key are taken together.
     """
     item_seeds = seeds(items.select(F.col(item_key).alias("_item"), token_hashes(F.col(text)).alias("hashes")), "_item")
+    # Written out first, so that Spark knows their size when it chooses the join.
+    item_seeds = pin(item_seeds, scratch_path(docs.sparkSession, "item-seeds"))
     known = HashFilter(item_seeds, "seed", filter_bits)
     doc_seeds = seeds(docs.select(F.col(doc_key).alias("_doc"), token_hashes(F.col(text)).alias("hashes")), "_doc")
     likely = doc_seeds.where(known.likely(F.col("seed")))

@@ -15,6 +15,7 @@ from sharefold.llm.chat import format_turns, read_piece, unescape
 from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
 from sharefold.llm.jaccard import jaccard_components
 from sharefold.llm.language import fit_language_model, identify_languages
+from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.line_dedup import dedup_lines
 from sharefold.llm.quality import COUNTS, judge, measure
 from sharefold.llm.registry import QUERIES, SQL, query, table
@@ -186,3 +187,8 @@ FROM s LEFT JOIN r ON s.doc_id = r.x GROUP BY s.doc_id, s.s
 @query(JACCARD_SQL)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
