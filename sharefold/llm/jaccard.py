@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharefold.llm.components import components
@@ -26,15 +26,16 @@ BLOCK = 2048
 
 
 def survey(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One pass: for each document its set's size and digest, and from each task counts of shingles by slot."""
+    """One pass: for each document its set's size and digest, and from each task counts of shingles by slot, up to 255."""
 
     def count(batches):
-        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in batches:
             keys, sizes, first, second = batch.column(0), [], [], []
             for value in batch.column(1):
                 members = shingle_set(value.as_py())
-                np.add.at(sketch, slots(members), 1)
+                at = slots(members)
+                np.add.at(sketch, at[sketch[at] < 255], 1)
                 a, b = digest(members)
                 sizes.append(len(members))
                 first.append(a)
@@ -58,8 +59,10 @@ def shingle_counts(surveyed: DataFrame) -> np.ndarray:
     """The sketch of all tasks, 2**SKETCH_BITS counters: its size does not depend on the data."""
 
     def total(parts: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(c.as_py(), np.uint32).astype(np.uint64) for c in parts["counts"])
-        return pa.table({"slice": parts["slice"][:1].cast(pa.int32()), "counts": [np.minimum(counts, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+        counts = np.zeros((1 << SKETCH_BITS) // SLICES, np.uint32)
+        for c in parts["counts"]:
+            counts += np.frombuffer(c.as_buffer(), np.uint8)
+        return pa.table({"slice": parts["slice"][:1].cast(pa.int32()), "counts": [counts.tobytes()]})
 
     parts = surveyed.where(F.col("slice").isNotNull()).select("slice", "counts")
     summed = parts.groupBy("slice").applyInArrow(total, "slice int, counts binary").collect()
@@ -127,11 +130,47 @@ def reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * common.cast("bigint") >= percent * (n.cast("bigint") + m - common)
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with the number of shingles their sets have in common."""
+def prefix_column(n: str, percent: int) -> Column:
+    """``prefix_length`` of a column."""
+    return F.col(n) - F.ceil(percent * F.col(n) / 100).cast("bigint") + 1
+
+
+def members_column(text: str) -> Column:
+    @F.arrow_udf("binary")
+    def members(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
+
+    return members(F.col(text))
+
+
+def compared(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``pairs`` (a, b, n, m) with ``common``, the number of shingles their whole sets have in common, and m of b.
+
+    Sets are made of those documents only that are in a pair.
+    """
+    spark = docs.sparkSession
+    pairs = pin(pairs, scratch_path(spark, "to-compare"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = pin(ids, scratch_path(spark, "to-compare"))
+    known = HashFilter(ids.select(F.xxhash64("id").alias("h")), "h")
+    wanted = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("id")))
+    sets = pin(wanted.join(ids, "id", "left_semi").select("id", members_column("_text").alias("members")), scratch_path(spark, "sets"))
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("_p"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("_q"))
-    return pairs.join(left, "a").join(right, "b").withColumn("common", common_column("_p", "_q")).drop("_p", "_q")
+    both = pairs.join(left, "a").join(right, "b").withColumn("common", common_column("_p", "_q"))
+    return both.select("a", "b", "n", (F.length("_q") / 8).cast("bigint").alias("m"), "common")
+
+
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b, n, m) of members with the pivots they share most lists with, three at most.
+
+    These are only the first links: pairs that are not among them are met when the lists are walked.
+    """
+    votes = lists.where("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("votes"), F.max("n").cast("bigint").alias("n"))
+    # A set that reaches 85 of 100 shares some 7 of 100 shingles within the prefixes; half of that is worth a look.
+    order = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
+    best = votes.where(1000 * F.col("votes") >= 34 * F.col("n")).withColumn("_at", F.row_number().over(order)).where("_at <= 3")
+    return best.select("a", "b", "n", F.col("n").alias("m"))
 
 
 def walk_lists(lists: DataFrame, percent: int) -> DataFrame:
@@ -144,7 +183,7 @@ def walk_lists(lists: DataFrame, percent: int) -> DataFrame:
     def walk(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         t = {c: group[c].to_numpy() for c in ("id", "n", "place", "comp", "with_pivot", "block")}
-        p = int(group["pivot_n"][0].as_py())
+        p = max(group["pivot_n"].to_pylist())
         left = np.flatnonzero(t["block"] == i)
         right = np.flatnonzero(t["block"] == j)
         left, right = left[np.lexsort((t["place"][left], t["n"][left]))], right[np.lexsort((t["place"][right], t["n"][right]))]
@@ -201,38 +240,36 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     packed = pin(packed.join(reps, "id", "left_semi").dropDuplicates(["id"]), scratch_path(spark, "prefixes"))
 
     listed = entries(packed)
-    pivot = F.struct("id", "n", "place")
-    heads = listed.groupBy("shingle").agg(F.count("*").alias("many"), F.min(pivot).alias("pivot")).where("many > 1")
-    lists = pin(listed.join(heads, "shingle"), scratch_path(spark, "lists"))
+    heads = listed.groupBy("shingle").agg(F.count("*").alias("many"), F.min("id").alias("pivot")).where("many > 1")
+    heads = pin(heads, scratch_path(spark, "heads"))
+    # Most entries stand alone in their list; a filter of fixed size spares them the second shuffle.
+    lists = pin(listed.where(HashFilter(heads, "shingle").likely(F.col("shingle"))).join(heads, "shingle"), scratch_path(spark, "lists"))
 
-    known = HashFilter(lists.select(F.xxhash64("id").alias("h")).distinct(), "h")
-    wanted = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("id")))
-    wanted = wanted.join(lists.select("id").distinct(), "id", "left_semi")
-    sets = pin(wanted.select("id", members_column("_text").alias("members")).dropDuplicates(["id"]), scratch_path(spark, "sets"))
-
-    n, m = F.col("n").cast("bigint"), F.col("pivot.n").cast("bigint")
-    most = F.least("place", "pivot.place") + 1 + F.least(n - F.col("place") - 1, m - F.col("pivot.place") - 1)
-    stars = lists.where((F.col("id") != F.col("pivot.id")) & reaches(most, n, m, percent))
-    stars = stars.select(F.col("id").alias("a"), F.col("pivot.id").alias("b"), n.alias("n"), m.alias("m")).distinct()
-    answers = pin(compared(stars, sets), scratch_path(spark, "answers"))
+    answers = pin(compared(star_pairs(lists), docs, key, text), scratch_path(spark, "answers"))
     sure = answers.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent)).select("a", "b")
     comps = pin(components(sure), scratch_path(spark, "components"))
 
     # Lists whose members are all connected have no more to tell.
     placed = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = placed.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle")
-    told = answers.select(F.col("a").alias("id"), F.col("b").alias("pivot_id"), "common")
+    told = answers.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "common", F.col("m").alias("pivot_n"))
     open_lists = (
         placed.join(mixed, "shingle")
-        .withColumn("pivot_id", F.col("pivot.id"))
-        .join(told, ["id", "pivot_id"], "left")
-        .withColumn("with_pivot", F.when(F.col("id") == F.col("pivot_id"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1))))
-        .select("shingle", "many", "id", "n", "place", "comp", F.col("pivot.n").alias("pivot_n"), "with_pivot")
+        .join(told, ["id", "pivot"], "left")
+        .withColumn("pivot_n", F.when(F.col("id") == F.col("pivot"), F.col("n")).otherwise(F.col("pivot_n")))
+        .withColumn("with_pivot", F.when(F.col("id") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1))))
+        .select("shingle", "many", "id", "n", "place", "comp", F.coalesce("pivot_n", F.lit(0)).cast("bigint").alias("pivot_n"), "with_pivot")
+    )
+    pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(
+        F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"), F.count("*").alias("shared")
     )
-    pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"))
+    # All shared prefix shingles are known by now. Beyond them, two sets share at most what one of them has after its prefix.
+    rest = F.greatest(F.col("n") - prefix_column("n", percent), F.col("m") - prefix_column("m", percent))
+    pairs = pairs.where(F.col("sure") | reaches(F.col("shared") + rest, F.col("n"), F.col("m"), percent))
     done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = pin(pairs.join(done, ["a", "b"], "left_anti"), scratch_path(spark, "pairs"))
-    checked = compared(pairs.where("not sure"), sets).where(reaches(F.col("common"), F.col("n"), F.col("m"), percent))
+    checked = compared(pairs.where("not sure").select("a", "b", "n", "m"), docs, key, text)
+    checked = checked.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent))
     links = sure.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))
     joined = pin(components(links), scratch_path(spark, "components"))
 
@@ -241,14 +278,6 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def members_column(text: str) -> Column:
-    @F.arrow_udf("binary")
-    def members(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
-
-    return members(F.col(text))
-
-
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents whose key is the smallest of their component, all columns as they are."""
     parts = jaccard_components(docs, key, text, percent)
