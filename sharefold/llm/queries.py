@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharefold.llm.bpe import share_tokenizer
@@ -17,6 +17,7 @@ from sharefold.llm.jaccard import jaccard_components
 from sharefold.llm.language import fit_language_model, identify_languages
 from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.line_dedup import dedup_lines
+from sharefold.llm.pii import KINDS, find_pii
 from sharefold.llm.quality import COUNTS, judge, measure
 from sharefold.llm.registry import QUERIES, SQL, query, table
 from sharefold.session import scratch_path
@@ -192,3 +193,22 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def joined_spans(found: Column, kinds: Column) -> Column:
+    """kind:start:end of spans in their order, joined by commas."""
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind_no"]), s["start"], s["stop"])), ",")
+
+
+def count_spans(found: Column, kind_no: int) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind_no"] == kind_no)).cast("bigint")
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    base = F.filter("found", lambda s: s["base"])
+    counts = [count_spans(base, k + 1).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    digest = F.sha2(joined_spans(base, kinds), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, joined_spans(F.col("found"), kinds).alias("spans"))
