@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharefold.llm import secrets
 from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.chat import format_turns, read_piece, unescape
 from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
@@ -212,3 +213,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count_spans(base, k + 1).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     digest = F.sha2(joined_spans(base, kinds), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, joined_spans(F.col("found"), kinds).alias("spans"))
+
+
+@query()
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.fit_secret_net(docs)
+    found = docs.select("doc_id", F.explode(F.array(secrets.secrets_column(model))).alias("found"))
+    kinds = F.array(*[F.lit(k) for k in secrets.KINDS])
+    base = F.filter("found", lambda s: s["kind_no"] < len(secrets.KINDS))
+    counts = [count_spans(F.col("found"), k + 1).alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:-1])]
+    digest = F.sha2(joined_spans(base, kinds), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, joined_spans(F.col("found"), kinds).alias("spans"))
