@@ -96,17 +96,15 @@ def rarity(surveyed: DataFrame, vocabulary: list[str]) -> dict[str, float]:
 def alignments(docs: DataFrame, idf: dict[str, float], templates: tuple[Template, ...], key: str, text: str) -> DataFrame:
     """_doc, _row, t (number of the template), start, score: every place where a template stands."""
     vocabulary = sorted(idf)
-    need = [math.ceil(t.share * len(set(t.words)) - 1e-9) for t in templates]
-    by_rarity = [sorted(set(t.words), key=lambda w: (-idf[w], w)) for t in templates]
     has = F.array_intersect("w", _strings(vocabulary))
-
-    def rarest(k: int) -> Column:
-        own = F.filter(_strings(by_rarity[k]), lambda x: F.array_contains("has", x))
-        return F.when(F.size(own) >= need[k], F.slice(own, 1, LOOKUPS))
-
-    chosen = F.filter(
-        F.array(*[F.struct(F.lit(k).alias("t"), rarest(k).alias("words")) for k in range(len(templates))]),
-        lambda x: x["words"].isNotNull(),
+    table = template_table(templates, idf)
+    chosen = F.transform(
+        table,
+        lambda t: F.struct(t["t"].alias("t"), t["need"].alias("need"), F.filter(t["rarest"], lambda x: F.array_contains("has", x)).alias("words")),
+    )
+    chosen = F.transform(
+        F.filter(chosen, lambda c: F.size(c["words"]) >= c["need"]),
+        lambda c: F.struct(c["t"].alias("t"), F.slice(c["words"], 1, LOOKUPS).alias("words")),
     )
     postings = F.create_map(
         *[
@@ -133,18 +131,39 @@ def alignments(docs: DataFrame, idf: dict[str, float], templates: tuple[Template
     )
     agreed = hits.groupBy("_doc", "_row", "t", "start").agg(F.count_distinct("at").alias("votes"), F.any_value("near").alias("near"))
 
-    def score(k: int) -> Column:
-        t = templates[k]
-        stands = [F.coalesce(F.get("near", F.lit(i)) == w, F.lit(False)) for i, w in enumerate(t.words)]
-        many = sum((s.cast("int") for s in stands), F.lit(0))
-        mass = sum((F.when(s, F.lit(idf[w])).otherwise(F.lit(0.0)) for s, w in zip(stands, t.words, strict=True)), F.lit(0.0))
-        right = (many >= math.ceil(t.share * len(t.words) - 1e-9)) & (F.col("votes") >= min(MIN_AGREEING, len(set(t.words))))
-        for i in t.phrase_words():
-            right = right & stands[i]
-        return F.when(right, F.least(mass / sum(idf[w] for w in t.words), F.lit(1.0)))
-
-    scored = F.coalesce(*[F.when(F.col("t") == k, score(k)) for k in range(len(templates))])
-    return agreed.withColumn("score", scored).where("score is not null").select("_doc", "_row", "t", "start", "score")
+    placed = agreed.withColumn("own", F.element_at(table, F.col("t") + 1))
+    stands = F.transform(F.col("own.words"), lambda w, i: F.coalesce(F.get("near", i) == w, F.lit(False)))
+    placed = with_settled(placed, "stands", stands)
+    mass = F.aggregate(
+        F.arrays_zip("stands", F.col("own.idf").alias("idf")), F.lit(0.0), lambda s, x: s + F.when(x["stands"], x["idf"]).otherwise(F.lit(0.0))
+    )
+    total = F.aggregate(F.col("own.idf"), F.lit(0.0), lambda s, x: s + x)
+    right = (
+        (F.size(F.filter("stands", lambda x: x)) >= F.col("own.least"))
+        & (F.col("votes") >= F.col("own.agree"))
+        & F.forall(F.col("own.must"), lambda i: F.get("stands", i))
+    )
+    return placed.where(right).select("_doc", "_row", "t", "start", F.least(mass / total, F.lit(1.0)).alias("score"))
+
+
+def template_table(templates: tuple[Template, ...], idf: dict[str, float]) -> Column:
+    """The templates as one array of structs, in order; its size is that of the templates."""
+
+    def row(k: int, t: Template) -> Column:
+        distinct = sorted(set(t.words), key=lambda w: (-idf[w], w))
+        must = F.array(*[F.lit(i) for i in t.phrase_words()]) if t.phrases else F.array().cast("array<int>")
+        return F.struct(
+            F.lit(k).alias("t"),
+            _strings(t.words).alias("words"),
+            _strings(distinct).alias("rarest"),
+            F.array(*[F.lit(idf[w]) for w in t.words]).alias("idf"),
+            must.alias("must"),
+            F.lit(math.ceil(t.share * len(distinct) - 1e-9)).alias("need"),
+            F.lit(math.ceil(t.share * len(t.words) - 1e-9)).alias("least"),
+            F.lit(min(MIN_AGREEING, len(distinct))).alias("agree"),
+        )
+
+    return F.array(*[row(k, t) for k, t in enumerate(templates)])
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
