@@ -101,5 +101,5 @@ def overlaps(
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that share no passage with any item, all columns as they are."""
-    found = overlaps(docs, items, key, text=text).select(F.col(key).alias("_hit")).distinct()
-    return docs.join(found, docs[key].eqNullSafe(F.col("_hit")), "left_anti")
+    found = overlaps(docs, items, key, text=text).select(F.col(key).alias("__hit")).distinct()
+    return docs.join(found, docs[key].eqNullSafe(F.col("__hit")), "left_anti")

@@ -56,7 +56,9 @@ class ByteConvNet:
         return g
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 2):
-        """Adam on cross-entropy over windows ``x`` (n, length) of bytes and class numbers ``y``."""
+        """Adam on cross-entropy over windows ``x`` (n, length) of bytes and class numbers ``y``; few windows are seen
+        more often, so that the steps do not become too few."""
+        epochs = max(epochs, 1000 * batch // max(1, len(y)) if len(y) < 125 * batch else 0)
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(q) for k, q in self.p.items()}
