@@ -2,12 +2,14 @@
 
 Sets that are equal are one class. A class's rarest shingles are its entries in the index lists. In every list a pivot
 is compared with all members; what this tells about two members decides most pairs without looking at their sets
-(answers derived from those of a similar set), and members already connected need no answer. What is left is walked in
-blocks of list places, whole blocks being skipped by size and place.
+(answers derived from those of a similar set), and members already connected need no answer. Members that meet too
+late in their prefixes are skipped by their places, and long lists are walked in blocks.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -130,11 +132,6 @@ def reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * common.cast("bigint") >= percent * (n.cast("bigint") + m - common)
 
 
-def prefix_column(n: str, percent: int) -> Column:
-    """``prefix_length`` of a column."""
-    return F.col(n) - F.ceil(percent * F.col(n) / 100).cast("bigint") + 1
-
-
 def members_column(text: str) -> Column:
     @F.arrow_udf("binary")
     def members(texts: pa.Array) -> pa.Array:
@@ -173,53 +170,70 @@ def star_pairs(lists: DataFrame) -> DataFrame:
     return best.select("a", "b", "n", F.col("n").alias("m"))
 
 
+def list_pairs(lists: dict[str, np.ndarray], percent: int) -> list[np.ndarray]:
+    """Of sorted lists, the pairs that may link: a, b, n, m, sure. All lists are walked at once, entry against the
+    next, then the one after, for as long as any list reaches.
+
+    A pair is looked for in the list of the first shingle the two have in common. There they share at most what stands
+    from that place on, and most pairs of a long list, meeting late in both prefixes, are left out at once.
+    """
+    group, found = lists["group"], []
+    at, step = np.arange(len(group)), 0
+    while len(at):
+        step += 1
+        at = at[: np.searchsorted(at, len(group) - step)]
+        at = at[group[at] == group[at + step]]
+        x, y = at, at + step
+        nx, ny, ox, oy = lists["n"][x], lists["n"][y], lists["with_pivot"][x], lists["with_pivot"][y]
+        most = np.minimum(nx - lists["place"][x], ny - lists["place"][y])
+        known = (ox >= 0) & (oy >= 0)
+        most = np.where(known, np.minimum(most, np.minimum(ox, oy) + np.minimum(nx - ox, ny - oy)), most)
+        can = (100 * most >= percent * (nx + ny - most)) & (lists["comp"][x] != lists["comp"][y])
+        can &= (lists["i"][x] == lists["j"][x]) | (lists["block"][x] != lists["block"][y])
+        x, y, nx, ny = x[can], y[can], nx[can], ny[can]
+        least = np.where(known, ox + oy - np.maximum(lists["pivot_n"][at], lists["pivot_n"][at + step]), 0)[can]
+        sure = 100 * least >= percent * (nx + ny - least)
+        swap = lists["id"][x] > lists["id"][y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        found.append((lists["id"][x], lists["id"][y], lists["n"][x], lists["n"][y], sure))
+    return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+
 def walk_lists(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, n, m, sure) of list members in different components that may link; ``sure`` ones do.
 
-    ``lists`` has shingle, many, id, n, place, comp, pivot_n, with_pivot (shingles in common with the list's pivot,
-    null where not compared).
+    ``lists`` has shingle, many, id, n, place, comp, pivot_n, with_pivot (shingles in common with the list's pivot, -1
+    where not compared). A list of more than BLOCK members is cut in blocks, and each two blocks are walked apart, so
+    no task holds more than two of them.
     """
-
-    def walk(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        t = {c: group[c].to_numpy() for c in ("id", "n", "place", "comp", "with_pivot", "block")}
-        p = max(group["pivot_n"].to_pylist())
-        left = np.flatnonzero(t["block"] == i)
-        right = np.flatnonzero(t["block"] == j)
-        left, right = left[np.lexsort((t["place"][left], t["n"][left]))], right[np.lexsort((t["place"][right], t["n"][right]))]
-        found = []
-        for at in range(0, len(left), 256):
-            x = left[at : at + 256]
-            nx, px, ox = (t[c][x][:, None].astype(np.int64) for c in ("n", "place", "with_pivot"))
-            # Sorted by size: only a stretch of the other block can be near enough in size.
-            lo = np.searchsorted(t["n"][right], -(-percent * int(nx.min()) // 100))
-            hi = np.searchsorted(t["n"][right], 100 * int(nx.max()) // percent, side="right")
-            y = right[lo:hi]
-            if not len(y):
+    columns = ("shingle", "i", "j", "block", "id", "n", "place", "comp", "pivot_n", "with_pivot")
+
+    def walk(batches):
+        rest = None
+        for batch in chain(batches, [None]):
+            own = None if batch is None else {c: batch.column(c).to_numpy().astype(np.int64) for c in columns}
+            if rest is not None and own is not None:
+                own = {c: np.concatenate([rest[c], own[c]]) for c in columns}
+            elif own is None:
+                own = rest
+            if own is None or not len(own["id"]):
                 continue
-            ny, py, oy = (t[c][y][None].astype(np.int64) for c in ("n", "place", "with_pivot"))
-            most = np.minimum(px, py) + 1 + np.minimum(nx - px - 1, ny - py - 1)
-            known = (ox >= 0) & (oy >= 0)
-            most = np.where(known, np.minimum(most, np.minimum(ox, oy) + np.minimum(nx - ox, ny - oy)), most)
-            least = np.where(known, ox + oy - p, 0)
-            can = 100 * most >= percent * (nx + ny - most)
-            can &= t["comp"][x][:, None] != t["comp"][y][None]
-            if i == j:
-                can &= t["id"][x][:, None] < t["id"][y][None]
-            u, v = np.nonzero(can)
-            sure = (100 * least >= percent * (nx + ny - least))[u, v]
-            found.append((t["id"][x][u], t["id"][y][v], t["n"][x][u], t["n"][y][v], sure))
-        parts = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 5
-        a, b, n, m, sure = parts
-        swap = a > b
-        a, b, n, m = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, m, n), np.where(swap, n, m)
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "n": n.astype(np.int64), "m": m.astype(np.int64), "sure": sure.astype(bool)})
+            new = np.ones(len(own["id"]), bool)
+            new[1:] = (own["shingle"][1:] != own["shingle"][:-1]) | (own["i"][1:] != own["i"][:-1]) | (own["j"][1:] != own["j"][:-1])
+            # The last list may go on in the next batch.
+            whole = len(new) if batch is None else int(np.flatnonzero(new)[-1])
+            rest = None if batch is None else {c: own[c][whole:] for c in columns}
+            if whole:
+                ready = {c: own[c][:whole] for c in columns} | {"group": np.cumsum(new[:whole])}
+                parts = list_pairs(ready, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["a", "b", "n", "m", "sure"])
 
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = lists.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    return dealt.groupBy("shingle", "i", "j").applyInArrow(walk, "a bigint, b bigint, n bigint, m bigint, sure boolean")
+    ordered = dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "id")
+    return ordered.select(*columns).mapInArrow(walk, "a bigint, b bigint, n bigint, m bigint, sure boolean")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -260,17 +274,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         .withColumn("with_pivot", F.when(F.col("id") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1))))
         .select("shingle", "many", "id", "n", "place", "comp", F.coalesce("pivot_n", F.lit(0)).cast("bigint").alias("pivot_n"), "with_pivot")
     )
-    pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(
-        F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"), F.count("*").alias("shared")
-    )
-    # All shared prefix shingles are known by now. Beyond them, two sets share at most what one of them has after its prefix.
-    rest = F.greatest(F.col("n") - prefix_column("n", percent), F.col("m") - prefix_column("m", percent))
-    pairs = pairs.where(F.col("sure") | reaches(F.col("shared") + rest, F.col("n"), F.col("m"), percent))
+    pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"))
     done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = pin(pairs.join(done, ["a", "b"], "left_anti"), scratch_path(spark, "pairs"))
     checked = compared(pairs.where("not sure").select("a", "b", "n", "m"), docs, key, text)
     checked = checked.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent))
-    links = sure.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))
+    tied = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
+    links = tied.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))
     joined = pin(components(links), scratch_path(spark, "components"))
 
     of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select("n", "d1", "d2", F.coalesce("comp", "rep").alias("component_id"))
@@ -281,5 +291,5 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents whose key is the smallest of their component, all columns as they are."""
     parts = jaccard_components(docs, key, text, percent)
-    gone = parts.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    gone = parts.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("__gone")).distinct()
+    return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
