@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sharefold.sources import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -30,8 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wide_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A table whose rows are costly to work on, spread over all cores when its file has few splits."""
-    return spread(table(spark, sf_dir, name), *keys)
+    """A table whose rows are costly to work on, dealt to all cores: the given files are single splits."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism, *keys)
 
 
 def epoch_ms(ts: Column | str) -> Column:

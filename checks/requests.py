@@ -41,7 +41,7 @@ def page_plan_query(spark, sf_dir):
       '{BASE}?symbol_id=' || prefix || c_custkey || '&count=20&source=公告&page=' || page_no AS url
     FROM (SELECT *, unnest(generate_series(1, 2)) AS page_no FROM share)
     UNION ALL SELECT 'main_influx', CAST(c_custkey AS VARCHAR), 1, 1, '{BASE}?type=hff&rtntype=2&js={{data:[(x)]}}' ||
-      '&cb=var%20aff_data=&check=TMLBMSPROCR&acces_token=T&id=' || c_custkey || kind || '&_=5' FROM share
+      '&cb=var%20aff_data=&check=C&acces_token=T&id=' || c_custkey || kind || '&_=5' FROM share
     UNION ALL SELECT 'financial_notice', CAST(c_custkey AS VARCHAR), 1, 1, '{BASE}' || c_custkey || '.html' FROM share"""
 )
 def fetch_plan_query(spark, sf_dir):
@@ -50,7 +50,7 @@ def fetch_plan_query(spark, sf_dir):
     )
     return union_pages(
         fetch_plan(shares, ANNOUNCEMENT, BASE, pages=2),
-        fetch_plan(shares, MAIN_INFLUX, BASE, token="T", stamp=5),
+        fetch_plan(shares, MAIN_INFLUX, BASE, token="T", check="C", stamp=5),
         fetch_plan(shares, FINANCIAL_NOTICE, BASE),
     )
 

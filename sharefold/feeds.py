@@ -155,7 +155,7 @@ MAIN_INFLUX = FeedSpec(
         ("rtntype", "2"),
         ("js", "{{data:[(x)]}}"),
         ("cb", "var%20aff_data="),
-        ("check", "TMLBMSPROCR"),
+        ("check", "{check}"),
         ("acces_token", "{token}"),
         ("id", "{share_id}"),
         ("_", "{stamp}"),

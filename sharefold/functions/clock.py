@@ -15,10 +15,22 @@ def _unit(unit: str | None) -> str:
     return (unit or "").upper()
 
 
+# The seconds of years 1 to 9999. Beyond them Spark cannot hold or print an instant.
+MIN_SECOND, MAX_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def _instant(epoch: Column, unit: str) -> Column:
+    """The instant of an epoch number; NULL where it is out of range, which would otherwise end the job."""
+    scale = 1000 if _unit(unit) == "MS" else 1
+    fits = epoch.between(F.lit((MIN_SECOND + 86_400) * scale), F.lit((MAX_SECOND - 86_400) * scale))
+    safe = F.when(fits, epoch)
+    return F.timestamp_millis(safe) if scale == 1000 else F.timestamp_seconds(safe)
+
+
 def local_time(epoch: Column | str, unit: str = "s") -> Column:
     """Beijing wall clock (TIMESTAMP_NTZ, whole seconds) of an epoch number."""
     epoch = F.col(epoch) if isinstance(epoch, str) else epoch
-    instant = F.timestamp_millis(epoch) if _unit(unit) == "MS" else F.timestamp_seconds(epoch)
+    instant = _instant(epoch, unit)
     # The two-argument form reads the instant in the session zone, so any session zone gives the same result.
     return F.date_trunc("second", F.convert_timezone(None, F.lit(LOCAL_ZONE), instant)).cast("timestamp_ntz")
 
@@ -26,13 +38,9 @@ def local_time(epoch: Column | str, unit: str = "s") -> Column:
 def epoch_to_bj(epoch: Column | str, unit: str = "s", pattern: str = SECOND_PATTERN) -> Column:
     """Beijing text of an epoch in seconds (``s``) or milliseconds (``ms``); any other unit gives ''."""
     epoch = F.col(epoch) if isinstance(epoch, str) else epoch
-    if _unit(unit) == "S":
-        instant = F.timestamp_seconds(epoch)
-    elif _unit(unit) == "MS":
-        instant = F.timestamp_millis(epoch)
-    else:
+    if _unit(unit) not in ("S", "MS"):
         return F.lit("")
-    return F.date_format(F.convert_timezone(None, F.lit(LOCAL_ZONE), instant), pattern)
+    return F.date_format(F.convert_timezone(None, F.lit(LOCAL_ZONE), _instant(epoch, unit)), pattern)
 
 
 def wall_clock_to_epoch_ms(wall: Column) -> Column:

@@ -12,7 +12,6 @@ LINK_PATTERN = r"(<a[^\n]+/a>)"
 _OPEN_TAG = r"(?i)(<a(?:\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?/?>)"
 _HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-_CHARSETS_IN_SPARK = {"utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
 
 
 def _col(value: Column | str) -> Column:
@@ -41,8 +40,8 @@ def decode_body(body: Column | str, charset: str = "UTF-8", jvm_charsets: bool =
     """Text of a response body; NULL when the bytes are not valid in the charset.
 
     UTF-8 stays in the JVM. Other charsets do so too when the session has both
-    ``spark.sql.legacy.javaCharsets`` and ``spark.sql.legacy.codingErrorAction`` on (``jvm_charsets``);
-    otherwise a pandas UDF reads them.
+    ``spark.sql.legacy.javaCharsets`` and ``spark.sql.legacy.codingErrorAction`` on (``jvm_charsets``), as the
+    library's own sessions do; otherwise a pandas UDF reads them.
     """
     body = _col(body)
     if charset.lower() == "utf-8":
@@ -50,8 +49,6 @@ def decode_body(body: Column | str, charset: str = "UTF-8", jvm_charsets: bool =
     if jvm_charsets:
         text = F.decode(body, charset)
         return F.when(~F.contains(text, F.lit("�")), text)
-    if charset.lower() in _CHARSETS_IN_SPARK:
-        return F.decode(body, charset)
     return _decoder(charset)(body)
 
 

@@ -23,7 +23,7 @@ def query_string(base: Column | str, params: Mapping[str, object], encode: bool
 
 
 def url_param(url: Column | str, name: str, value: object) -> Column:
-    """The address with one parameter's value replaced; unchanged when it has no such parameter."""
+    """The address with one parameter's value replaced, of whatever form; unchanged when it has no such parameter."""
     url = F.col(url) if isinstance(url, str) else url
     literal = F.regexp_replace(_text(value), r"([\\$])", r"\\$1")
-    return F.regexp_replace(url, F.lit(rf"(?<=[?&]{name}=)\w+"), literal)
+    return F.regexp_replace(url, F.lit(rf"(?<=[?&]\Q{name}\E=)[^&#]*"), literal)

@@ -19,7 +19,7 @@ PROGRESS_DEFAULT = "未定义"
 EXCHANGE_PREFIXES = {"1": "SH", "2": "SZ"}
 
 # Spark prints a JSON number of magnitude under 1e-3 or from 1e7 with an exponent. The feeds' own text form of
-# the same number is plain decimal from 1e-4 up to 1e16, so those still count as decimal text.
+# the same number keeps twelve digits, so it is plain decimal from 1e-4 up to 1e12; those still count as decimal text.
 _EXPONENT_TEXT = r"^[-+]?[0-9]\.[0-9]+E-?[0-9]+$"
 
 
@@ -47,7 +47,7 @@ def is_decimal_text(text: Column | str, from_json: bool = False) -> Column:
     if not from_json:
         return plain
     size = F.abs(text.try_cast("double"))
-    return plain | (text.rlike(_EXPONENT_TEXT) & (size >= F.lit(1e-4)) & (size < F.lit(1e16)))
+    return plain | (text.rlike(_EXPONENT_TEXT) & (size >= F.lit(1e-4)) & (size < F.lit(1e12)))
 
 
 def scale_ratio(text: Column | str, gated: bool = False, from_json: bool = False) -> Column:

@@ -26,7 +26,17 @@ from sharefold.functions import (
 from sharefold.functions.clock import MINUTE_PATTERN, SECOND_PATTERN
 from sharefold.functions.text import first_match
 
-LENIENT_JSON = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+LENIENT_JSON = {
+    "allowUnquotedFieldNames": "true",
+    "allowSingleQuotes": "true",
+    "allowComments": "true",
+    "allowUnquotedControlChars": "true",
+    "allowBackslashEscapingAnyCharacter": "true",
+}
+
+# A comma before a closing bracket, outside strings (which are matched first and kept).
+_TRAILING = r",\s*[\]}]"
+_STRING_OR_TRAILING = r"""("(?:[^"\\]|\\[\s\S])*+"|'(?:[^'\\]|\\[\s\S])*+')|,(?=\s*[\]}])"""
 
 # What a page can be: fine, worth asking for again, or of a changed shape.
 OK, REFETCH, BAD_SHAPE = "ok", "refetch", "bad_shape"
@@ -47,8 +57,10 @@ def envelope_schema(spec: FeedSpec) -> str:
 
 
 def lenient_json(text: Column | str, schema: str) -> Column:
-    """JSON text with bare or single-quoted keys as a struct; fields are NULL where the text is no such JSON."""
+    """JSON text as a struct; fields are NULL where the text is no such JSON. Bare and single-quoted keys, comments,
+    control characters in strings, needless escapes and trailing commas are read."""
     text = F.col(text) if isinstance(text, str) else text
+    text = F.when(text.rlike(_TRAILING), F.regexp_replace(text, _STRING_OR_TRAILING, "$1")).otherwise(text)
     return F.from_json(text, schema, LENIENT_JSON)
 
 

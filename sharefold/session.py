@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # Both let Spark itself decode GBK, with a mark in place of what cannot be decoded.
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -30,13 +34,14 @@ def build_session(app: str = "sharefold", master: str | None = None, **extra: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: what the session names, else a local one for tests."""
+    """The folder all executors can reach: what the session names. A local master may do without and gets a local
+    folder; anywhere else a missing name is an error, since executors would write to disks of their own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    local = os.path.join(tempfile.gettempdir(), "sharefold-scratch")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "sharefold-scratch")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -18,9 +18,6 @@ from sharefold.operators.merge import FIRST, LAST, upsert
 
 MERGED, APPLIED = "merged", "applied"
 
-# Up to this many touched partitions are named in the scan's filter; more are matched by a semi-join instead.
-NAMED_PARTITIONS = 5_000
-
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The files at ``path``, None when there are none yet; a known schema saves the job that reads it."""
@@ -75,11 +72,15 @@ def pin(small: DataFrame, path: str) -> DataFrame:
 
 
 def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
-    values = incoming.select(partition).distinct()
-    found = [r[0] for r in values.limit(NAMED_PARTITIONS + 1).collect()]
-    if len(found) <= NAMED_PARTITIONS:
-        return stored.where(F.col(partition).isin(found))
-    return stored.join(values, partition, "left_semi")
+    """Stored rows of the partitions that ``incoming`` touches, NULL among them.
+
+    The batch's lowest and highest partition, found while the query runs, prune the scan; a null-safe semi-join
+    then leaves out what lies between. One form serves any number of partitions, and nothing comes to the driver.
+    """
+    low, high = (incoming.select(bound(partition)).scalar() for bound in (F.min, F.max))
+    near = stored.where(F.col(partition).between(low, high) | F.col(partition).isNull())
+    values = incoming.select(F.col(partition).alias("_touched")).distinct()
+    return near.join(values, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def merge_into_table(

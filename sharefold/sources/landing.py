@@ -20,25 +20,13 @@ LANDING_SCHEMA = T.StructType(
 )
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """A file scan with fewer splits than the cluster has cores, spread over them by unique ``keys``.
-
-    Parsing a body costs far more than moving it, so a few big files should not leave cores idle. A scan with
-    splits enough, as on any large landing, stays as it is. Meant for plain scans: asking a plan with shuffles
-    for its partitions would run them.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
-
-
 def read_landing(spark: SparkSession, path: str, feed: str | None = None) -> DataFrame:
-    """The landing table, cut to one feed by a filter that reaches the scan."""
+    """The landing table, cut to one feed by a filter that reaches the scan. How finely it is split is the session's
+    choice (``spark.sql.files.maxPartitionBytes``)."""
     landing = spark.read.schema(LANDING_SCHEMA).parquet(path)
     if feed is not None:
         landing = landing.where(F.col("feed") == feed)
-    return spread(landing, "url", "fetched_at", "page_no")
+    return landing
 
 
 def read_landing_files(spark: SparkSession, path: str, feed: str, pattern: str = "*") -> DataFrame:

@@ -96,8 +96,27 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert state(after)[("a", "2018-08-02")] == ("n", 5.0)
 
 
-def test_many_touched_partitions_go_by_semi_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sink, "NAMED_PARTITIONS", 1)
+def test_scan_is_pruned_to_the_touched_range(spark, tmp_path):
+    stored, incoming = str(tmp_path / "s"), spark.range(3).select(F.col("id").alias("p"))
+    spark.range(20).select(F.col("id").alias("v"), F.col("id").alias("p")).write.partitionBy("p").parquet(stored)
+    touched = sink._touched(spark.read.schema("v long, p long").parquet(stored), incoming, "p")
+    text = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(((p" in text and "ubquery" in text and "Cartesian" not in text and "NestedLoop" not in text
+    assert sorted(r.v for r in touched.collect()) == [0, 1, 2]
+
+
+def test_rows_without_a_partition_value_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, code in ((0, "a"), (1, "b"), (2, "a")):
+        row = spark.range(1).select(F.lit(code).alias("code"), F.lit(None).cast("string").alias("day"), F.lit("n").alias("name"), F.lit(float(batch)).alias("price"))
+        staged = with_arrival(row.withColumn("at", F.lit(batch)), ["at"]).drop("at")
+        staged.write.mode("overwrite").parquet(f"{path}-in{batch}")
+        merge_into_table(spark.read.parquet(f"{path}-in{batch}"), path, ("code", "day"), ("name",), "day")
+    found = {r.code: (r.day, r.price) for r in read_stored(spark, path).collect()}
+    assert found == {"a": (None, 2.0), "b": (None, 1.0)}
+
+
+def test_many_touched_partitions(spark, tmp_path):
     rows, path = some_rows(9), str(tmp_path / "t")
     for b in (0, 1, 2):
         write(spark, path, [r for r in rows if r[0] == b])
