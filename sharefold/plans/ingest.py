@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sharefold.feeds import FeedSpec, feed
 from sharefold.functions import as_of_ms as run_time
@@ -33,6 +35,7 @@ class FeedRun:
     spec: FeedSpec
     root: str
     batch: int
+    run: int
 
     @property
     def table_path(self) -> str:
@@ -40,7 +43,12 @@ class FeedRun:
 
     @property
     def parsed_path(self) -> str:
-        return f"{self.root}/_parsed/{self.spec.name}/batch={self.batch}"
+        return f"{self.run_path}/batch={self.batch}"
+
+    @property
+    def run_path(self) -> str:
+        """Parsed rows of all batches of the run."""
+        return f"{self.root}/_parsed/{self.spec.name}/run={self.run}"
 
     def lookup_path(self, name: str) -> str:
         return f"{self.root}/_lookups/{self.spec.name}/{name}/batch={self.batch}"
@@ -53,10 +61,26 @@ class FeedRun:
         stored = read_stored(self.spark, self.table_path)
         return None if stored is None else stored.select(*self.spec.columns)
 
+    def taken(self) -> DataFrame:
+        """Parsed rows of this batch on the pages that the run took."""
+        if not self.spec.timeline:
+            return self.parsed()
+        last = _written(self.spark, self.lookup_path("last_pages"))
+        return self.parsed() if last is None else inc.keep_pages(self.parsed(), last, "share_code", "page_no")
+
+    def units(self, rows: DataFrame) -> DataFrame:
+        """The units among parsed rows. A notice without a date is no notice: it goes without being a reject."""
+        units = rows.where((F.col("page_state") == OK) & F.col("unit_pos").isNotNull())
+        if self.spec.unit == "html":
+            units = units.where(F.coalesce(F.col("announcement_date"), F.lit("")) != "")
+        return units
+
     def items(self) -> DataFrame:
-        """Item rows of this batch, for the JSON-lines dump."""
-        fields = [f.name for f in self.spec.fields]
-        return self.parsed().where(F.col("unit_pos").isNotNull()).select(*fields)
+        """Items that this batch gives out, for the JSON-lines dump: units of known shares on the pages taken."""
+        units = self.units(self.taken())
+        if self.spec.per_share:
+            units = units.where(F.coalesce("share_known", F.lit(False)))
+        return units.select(*[f.name for f in self.spec.fields])
 
     def refetch(self) -> DataFrame:
         """Pages to ask for again, and those of a changed shape, with their state."""
@@ -66,12 +90,9 @@ class FeedRun:
     def judged(self, rows: DataFrame | None = None) -> DataFrame:
         """Stored form of the batch's units with the rules each breaks. Cheap to compute again, so not kept."""
         spec = self.spec
-        rows = self.parsed() if rows is None else rows
-        units = rows.where((F.col("page_state") == OK) & F.col("unit_pos").isNotNull())
-        if spec.unit == "html":
-            # A notice without a date is no notice: it goes without being counted as a reject.
-            units = units.where(F.coalesce(F.col("announcement_date"), F.lit("")) != "")
-        units = units.withColumn("batch", F.lit(self.batch).cast("bigint"))
+        units = self.units(self.taken() if rows is None else rows)
+        if "batch" not in units.columns:
+            units = units.withColumn("batch", F.lit(self.batch).cast("bigint"))
         rules, keep = key_rules(spec), ("url", *ARRIVAL)
         if spec.per_share:
             rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
@@ -99,8 +120,9 @@ def stage_feed(
         names = universe.select(
             F.col("shares_code").cast("string").alias("share_code"),
             F.col("shares_name").alias("name"),
-            F.lit(True).alias("share_known"),
         )
+        # One row per code, whatever the caller's universe holds.
+        names = names.groupBy("share_code").agg(F.min("name").alias("name"), F.lit(True).alias("share_known"))
         names = require_shares(pin(names, run.lookup_path("shares")))
         rows = enrich_share(rows, names, how="left")
     return pin(rows, run.parsed_path)
@@ -115,21 +137,39 @@ def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int |
     if mode == inc.PERIOD:
         stop = inc.stop_rule(mode, now, days)
     else:
-        default = inc.period_start(now, days)
-        stored = run.table()
-        if stored is None:
-            bounds = bounds.withColumn("cutoff", default)
-        else:
-            at = next(s.name for s in spec.stored if s.how == "local_minute")
-            marks = high_water(stored, "shares_code", spec.key[0], at).select(
-                F.col("shares_code").alias("share_code"), wall_clock_to_epoch_ms(F.col("max_at")).alias("mark")
-            )
-            bounds = with_cutoff(bounds, marks, "share_code", "mark", default, salt="page_no")
+        bounds = with_cutoff(bounds, _marks(spec, run), "share_code", "mark", inc.period_start(now, days))
         stop = inc.stop_rule(mode, now, days, F.col("cutoff"))
     last = pin(inc.last_pages(bounds, "share_code", "page_no", stop), run.lookup_path("last_pages"))
     return inc.keep_pages(rows, last, "share_code", "page_no")
 
 
+def _written(spark: SparkSession, path: str) -> DataFrame | None:
+    """What is at ``path``, None when there is nothing."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _marks(spec: FeedSpec, run: FeedRun) -> DataFrame:
+    """Newest stored time per share as the run found it. Its first batch writes the marks and all others read them, so
+    what a run has stored itself never ends its walk."""
+    path = f"{run.root}/_lookups/{spec.name}/marks/run={run.run}"
+    known = _written(run.spark, path)
+    if known is not None:
+        return known
+    stored = run.table()
+    if stored is None:
+        return pin(run.spark.createDataFrame([], "share_code string, mark bigint"), path)
+    at = next(s.name for s in spec.stored if s.how == "local_minute")
+    marks = high_water(stored, "shares_code", spec.key[0], at)
+    return pin(
+        marks.select(F.col("shares_code").alias("share_code"), wall_clock_to_epoch_ms(F.col("max_at")).alias("mark")), path
+    )
+
+
 def ingest(
     landing: DataFrame,
     feed_name: str,
@@ -140,17 +180,22 @@ def ingest(
     as_of_ms: int | None = None,
     period_days: int = inc.PERIOD_DAYS,
     extra_keys: tuple[str, ...] = (),
+    run_id: int | None = None,
 ) -> FeedRun:
     """Brings a feed's table up to date with a batch of landed responses.
 
     ``batch`` is the arrival number of the batch; running the same batch again changes nothing. ``mode`` (all,
-    period, newest) matters for timelines only.
+    period, newest) matters for timelines only. A run whose pages land in several batches names them all by one
+    ``run_id`` (the first batch's number, say): its marks are those of its start, and each batch cuts over all pages of
+    the run that have landed. Without it every batch is a run of its own.
     """
     spec = feed(feed_name)
     mode = inc.cut_mode(mode)
-    run = FeedRun(landing.sparkSession, spec, root, batch)
+    run = FeedRun(landing.sparkSession, spec, root, batch, batch if run_id is None else run_id)
     rows = stage_feed(landing, spec, run, universe)
-    if spec.timeline:
+    if spec.timeline and mode != inc.ALL:
+        schema = StructType([*rows.schema.fields, StructField("batch", LongType())])
+        rows = run.spark.read.schema(schema).parquet(run.run_path)
         rows = _cut(rows, spec, run, mode, as_of_ms, period_days)
     good = run.judged(rows).where(F.col("reject_reason") == "")
     partition = [spec.partition] if spec.partition not in spec.columns else []

@@ -70,7 +70,12 @@ def stream_feed(
     first_batch: int = 0,
     **options: object,
 ) -> StreamingQuery:
-    """Runs ``ingest`` on each micro-batch of a landing stream; ``first_batch`` as in ``stream_upsert``."""
+    """Runs ``ingest`` on each micro-batch of a landing stream; ``first_batch`` as in ``stream_upsert``.
+
+    All micro-batches of a timeline are one run, named by ``first_batch``; pass ``run_id`` to name it otherwise. A stream
+    that starts over with a new ``first_batch`` takes its marks anew.
+    """
+    options.setdefault("run_id", first_batch)
 
     def write(rows: DataFrame, batch: int) -> None:
         ingest(rows, feed_name, root, first_batch + batch, universe=universe, **options)

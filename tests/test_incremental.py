@@ -93,6 +93,25 @@ def test_runs_of_a_timeline(spark, landing, universe, tmp_path):
     assert stored_ids(late) == [49, 50, 109, 150, 198, 199, 200, 201, 205]
 
 
+def test_a_run_in_several_batches_loses_nothing(spark, landing, universe, tmp_path):
+    root = str(tmp_path / "r")
+
+    def pages(*numbered):
+        return landing(*[("announcement", page(n, *t), {"share_code": "600001", "page_no": n}) for n, t in numbered])
+
+    def run(batch, run_id, *numbered):
+        return ingest(pages(*numbered), "announcement", root, batch, universe=universe, mode="newest", as_of_ms=140 * inc.DAY_MS, run_id=run_id)
+
+    assert stored_ids(run(1, 1, (1, (100, 99)))) == [99, 100]
+    run(2, 2, (1, (130, 129)))
+    run(3, 2, (3, (126, 125)), (4, (124, 100)), (5, (98, 97)))
+    last = run(4, 2, (2, (128, 127)))
+    assert stored_ids(last) == [99, 100, *range(124, 131)]
+    # Only pages of the batch that the run takes are given out.
+    assert sorted(int(r.announce_id) for r in last.items().select("announce_id").collect()) == [127, 128]
+    assert stored_ids(run(3, 2, (3, (126, 125)), (4, (124, 100)), (5, (98, 97)))) == [99, 100, *range(124, 131)]
+
+
 def test_one_busy_share_keeps_every_row(spark):
     busy = spark.range(50_000).select(
         F.when(F.col("id") % 3 == 0, "busy").otherwise(F.concat(F.lit("s"), F.col("id") % 97)).alias("share"),
