@@ -20,19 +20,19 @@ from pyspark.sql import functions as F
 NONE = np.iinfo(np.int64).max
 
 # Memory bounds inside a task; neither changes a result.
-CACHED_PIECES = 300_000
-BLOCK_CHARS = 1_000_000
+CACHED_PIECES = 60_000
+BLOCK_CHARS = 500_000
 
 
 class PairRanks:
     """Rank of a pair of neighbouring tokens, as an open-addressed table that is read for whole arrays."""
 
     def __init__(self, pairs: dict[tuple[int, int], int]):
-        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.bits = max(4, (2 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.ranks = np.full(1 << self.bits, NONE, np.int64)
+        self.ranks = np.full(1 << self.bits, -1, np.int32)
         key = np.array([a << 32 | b for a, b in pairs], np.int64)
-        rank = np.array(list(pairs.values()), np.int64)
+        rank = np.array(list(pairs.values()), np.int32)
         at = self._slot(key)
         while len(key):
             free = self.keys[at] == -1
@@ -53,7 +53,7 @@ class PairRanks:
             at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
             seen = self.keys[at[todo]]
             todo = todo[(seen != key[todo]) & (seen != -1)]
-        return np.where(self.keys[at] == key, self.ranks[at], NONE)
+        return np.where(self.keys[at] == key, self.ranks[at].astype(np.int64), NONE)
 
 
 class _Numbered(dict):
@@ -69,7 +69,7 @@ class ByteBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self.tokens = {i: t for t, i in ranks.items()}
+        self.tokens = dict(zip(ranks.values(), ranks, strict=True))
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -154,7 +154,7 @@ class ByteBpe:
             if p not in self.ranks:
                 groups.setdefault(1 << (len(p) - 1).bit_length(), []).append(i)
         for width, members in groups.items():
-            step = max(1, (1 << 18) // width)
+            step = max(1, (1 << 17) // width)
             for start in range(0, len(members), step):
                 block = members[start : start + step]
                 found, many = self.merge([raw[i] for i in block], width)
