@@ -100,15 +100,7 @@ def feed_main_influx(spark, sf_dir):
     return run.table().select("shares_code", "date", "shares_name", "main_influx_price", "small_influx_ratio")
 
 
-@check(
-    """
-    SELECT CAST(p_partkey AS VARCHAR) AS shares_code, p_name AS shares_name, p_type AS performance_change,
-      p_brand AS expected_net_profit_left, '' AS expected_net_profit_right,
-      CASE n WHEN 0 THEN p_size || '%' WHEN 1 THEN p_size + 1 || '%' ELSE '' END AS performance_change_ratio_left,
-      'why' AS performance_change_reason, DATE '2018-08-10' + CAST(n AS INT) AS announcement_date
-    FROM part, (SELECT unnest(generate_series(0, 2)) AS n) WHERE p_size % 4 <> 0"""
-)
-def feed_financial_notice(spark, sf_dir):
+def notice_run(spark, sf_dir):
     """A page per part: rows with one, two and no spans and one without a date; every fourth size lacks a header."""
 
     def span(*parts):
@@ -127,8 +119,19 @@ def feed_financial_notice(spark, sf_dir):
     part = wide_table(spark, sf_dir, "part", "p_partkey")
     universe = part.select(F.col("p_partkey").alias("shares_code"), F.col("p_name").alias("shares_name"))
     landing = landed(part, "financial_notice", body, F.col("p_partkey"), share=F.col("p_partkey"))
-    run = ingest(landing, "financial_notice", scratch_path(spark, "notice"), 1, universe=universe)
-    return run.table().drop("preview_type", "previous_year_profit", "performance_change_ratio_right")
+    return ingest(landing, "financial_notice", scratch_path(spark, "notice"), 1, universe=universe)
+
+
+@check(
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS shares_code, p_name AS shares_name, p_type AS performance_change,
+      p_brand AS expected_net_profit_left, '' AS expected_net_profit_right,
+      CASE n WHEN 0 THEN p_size || '%' WHEN 1 THEN p_size + 1 || '%' ELSE '' END AS performance_change_ratio_left,
+      'why' AS performance_change_reason, DATE '2018-08-10' + CAST(n AS INT) AS announcement_date
+    FROM part, (SELECT unnest(generate_series(0, 2)) AS n) WHERE p_size % 4 <> 0"""
+)
+def feed_financial_notice(spark, sf_dir):
+    return notice_run(spark, sf_dir).table().drop("preview_type", "previous_year_profit", "performance_change_ratio_right")
 
 
 def to_gbk(texts):
@@ -306,20 +309,23 @@ def feed_announcement(spark, sf_dir):
 AS_OF_MS = 1_706_659_200_000
 
 
-@check(
-    f"""
+NEWS_STEPS = f"""
     WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms, {TOP_BLOCK} - event_id // {BLOCK} AS page_no FROM events),
     first_run AS (SELECT * FROM e WHERE ts < TIMESTAMP '2024-01-16' AND user_id % 3 <> 0),
     marks AS (SELECT user_id, max(epoch_ms(date_trunc('minute', ts))) AS mark FROM first_run GROUP BY 1),
     b AS (SELECT user_id, page_no, min(ms) <= coalesce(any_value(mark), {AS_OF_MS} - 10 * 86400000) AS stop
           FROM e LEFT JOIN marks USING (user_id) GROUP BY 1, 2),
     k AS (SELECT user_id, page_no, coalesce(max(CASE WHEN stop THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
-            ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM b),
+            ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM b)"""
+
+NEWS_SQL = f"""{NEWS_STEPS},
     kept AS (SELECT event_id FROM first_run UNION SELECT event_id FROM e JOIN k USING (user_id, page_no) WHERE done = 0)
     SELECT CAST(user_id AS VARCHAR) AS shares_code, c_name AS shares_name, event_id AS news_id, 'title ' || event_id AS news_title,
       date_trunc('minute', ts + INTERVAL 8 HOUR) AS date
     FROM kept JOIN events USING (event_id) JOIN customer ON c_custkey = user_id"""
-)
+
+
+@check(NEWS_SQL)
 def feed_news(spark, sf_dir):
     """A full run over some shares' first half of January, then a newest-only run over everything."""
     events, path, names = table(spark, sf_dir, "events"), scratch_path(spark, "news"), customers(spark, sf_dir)

@@ -1,5 +1,5 @@
 """Whole runs: from landed responses to current tables."""
 
-from sharefold.plans.ingest import FeedRun, ingest, stage_feed
+from sharefold.plans.ingest import FeedRun, ingest, ingest_all, stage_feed
 
-__all__ = ["FeedRun", "ingest", "stage_feed"]
+__all__ = ["FeedRun", "ingest", "ingest_all", "stage_feed"]

@@ -7,6 +7,7 @@ needs, so bodies are decoded once and a lost executor never causes a second pars
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from sharefold.feeds import FeedSpec, feed
+from sharefold.feeds import BASIC_INDEX, FEEDS, FeedSpec, feed
 from sharefold.functions import as_of_ms as run_time
 from sharefold.functions.clock import wall_clock_to_epoch_ms
 from sharefold.operators import incremental as inc
 from sharefold.operators.merge import with_arrival
 from sharefold.operators.parse import OK, parse_feed
-from sharefold.operators.shares import enrich_share, high_water, require_shares, with_cutoff
+from sharefold.operators.shares import enrich_share, high_water, require_shares, share_universe, with_cutoff
 from sharefold.operators.store import key_rules, stored_projection, with_reasons
 from sharefold.sinks.tables import merge_feed, pin, read_stored
 
@@ -170,6 +171,17 @@ def _marks(spec: FeedSpec, run: FeedRun) -> DataFrame:
     )
 
 
+def _refuse_older(run: FeedRun) -> None:
+    """Notes the batch as the feed's last one; an error where a later one was noted before."""
+    path = f"{run.root}/_lookups/{run.spec.name}/last_batch"
+    known = _written(run.spark, path)
+    last = None if known is None else known.agg(F.max("batch").alias("batch")).head().batch
+    if last is not None and run.batch < last:
+        raise ValueError(f"batch {run.batch} of {run.spec.name} comes after batch {last}: only_changes needs them in order")
+    if last != run.batch:
+        run.spark.range(1).select(F.lit(run.batch).cast("bigint").alias("batch")).write.mode("append").parquet(path)
+
+
 def ingest(
     landing: DataFrame,
     feed_name: str,
@@ -181,6 +193,7 @@ def ingest(
     period_days: int = inc.PERIOD_DAYS,
     extra_keys: tuple[str, ...] = (),
     run_id: int | None = None,
+    only_changes: bool = False,
 ) -> FeedRun:
     """Brings a feed's table up to date with a batch of landed responses.
 
@@ -188,10 +201,15 @@ def ingest(
     period, newest) matters for timelines only. A run whose pages land in several batches names them all by one
     ``run_id`` (the first batch's number, say): its marks are those of its start, and each batch cuts over all pages of
     the run that have landed. Without it every batch is a run of its own.
+
+    ``only_changes`` rewrites only partitions in which a value changes, for feeds whose responses repeat a long
+    history. It then matters that batches come in order, so one older than the last is refused with a ValueError.
     """
     spec = feed(feed_name)
     mode = inc.cut_mode(mode)
     run = FeedRun(landing.sparkSession, spec, root, batch, batch if run_id is None else run_id)
+    if only_changes:
+        _refuse_older(run)
     rows = stage_feed(landing, spec, run, universe)
     if spec.timeline and mode != inc.ALL:
         schema = StructType([*rows.schema.fields, StructField("batch", LongType())])
@@ -200,5 +218,31 @@ def ingest(
     good = run.judged(rows).where(F.col("reject_reason") == "")
     partition = [spec.partition] if spec.partition not in spec.columns else []
     incoming = with_arrival(good, ARRIVAL).select(*spec.columns, *partition, "_first_seq", "_last_seq")
-    merge_feed(incoming, run.table_path, spec, extra_keys)
+    merge_feed(incoming, run.table_path, spec, extra_keys, only_changes)
     return run
+
+
+def ingest_all(
+    landing: DataFrame,
+    root: str,
+    batch: int,
+    universe: DataFrame | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
+) -> dict[str, FeedRun]:
+    """Takes a landing of several feeds to the table of each: one run for every known feed that is in it, by name.
+
+    ``landing`` is read once per feed under a filter on ``feed``, which prunes a table partitioned by it. Basic index
+    rows go first. Feeds that need the share universe take ``universe``, or that of the stored basic index.
+    ``options`` holds further arguments of ``ingest`` by feed.
+    """
+    known = landing.where(F.col("feed").isin(*FEEDS)).select("feed").distinct()  # no more rows than there are feeds
+    present = {r.feed for r in known.collect()}
+    runs: dict[str, FeedRun] = {}
+    for name in sorted(present, key=lambda n: (FEEDS[n].per_share, n)):
+        if FEEDS[name].per_share and universe is None:
+            index = FeedRun(landing.sparkSession, BASIC_INDEX, root, batch, batch).table()
+            if index is None:
+                raise ValueError(f"feed {name} needs the share universe, and no basic index is stored")
+            universe = pin(share_universe(index), f"{root}/_lookups/universe/batch={batch}")
+        runs[name] = ingest(landing, name, root, batch, universe=universe, **(options or {}).get(name, {}))
+    return runs

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sharefold.feeds import FeedSpec
-from sharefold.operators.merge import FIRST, LAST, upsert
+from sharefold.operators.merge import FIRST, LAST, fold_by_key, upsert
 
 MERGED, APPLIED = "merged", "applied"
 
@@ -83,23 +83,39 @@ def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFram
     return near.join(values, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
 
 
+def _changes(stored: DataFrame, incoming: DataFrame, key: tuple[str, ...], sticky: tuple[str, ...]) -> DataFrame:
+    """Rows of ``incoming``, one per key, that are new or differ from the stored row in a column that can change."""
+    arrived = fold_by_key(incoming, key, sticky)
+    compared = [c for c in arrived.columns if c not in {*sticky, FIRST, LAST}]
+    known = stored.select(*[F.col(c).alias(f"_known_{c}") for c in compared])
+    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in compared]
+    return arrived.join(known, same, "left_anti")
+
+
 def merge_into_table(
     incoming: DataFrame,
     path: str,
     key: tuple[str, ...],
     sticky: tuple[str, ...],
     partition: str,
+    only_changes: bool = False,
 ) -> None:
     """Folds a batch into the table at ``path``; one writer at a time.
 
     ``incoming`` carries arrivals (``with_arrival``), which makes a repeated batch harmless, and is read twice:
     pass a written table. ``partition`` must be a function of ``key``, else a key could live in two places.
+
+    ``only_changes`` leaves rows out that say what is stored already, so that partitions without a change are read
+    but not rewritten. Such a row does not count as the newest arrival of its key: batches must then come in order.
     """
     spark = incoming.sparkSession
     resume(spark, path, partition)
     stored = _read(spark, f"{path}/rows", incoming.schema)
     if stored is not None:
-        stored = _touched(stored.select(*incoming.columns), incoming, partition)
+        stored = stored.select(*incoming.columns)
+        if only_changes:
+            incoming = pin(_changes(_touched(stored, incoming, partition), incoming, key, sticky), f"{path}/changed")
+        stored = _touched(stored, incoming, partition)
     merged = upsert(stored, incoming, key, sticky)
     # Rows of one partition come together here, a large one in several tasks, so replacing needs no further shuffle.
     merged.hint("rebalance", partition).write.mode("overwrite").parquet(f"{path}/merged")
@@ -107,7 +123,9 @@ def merge_into_table(
     _apply(spark, path, partition, merged.schema)
 
 
-def merge_feed(incoming: DataFrame, path: str, spec: FeedSpec, extra_keys: tuple[str, ...] = ()) -> None:
+def merge_feed(
+    incoming: DataFrame, path: str, spec: FeedSpec, extra_keys: tuple[str, ...] = (), only_changes: bool = False
+) -> None:
     """``merge_into_table`` with a feed's key. ``extra_keys`` splits keys further, such as by holder."""
     sticky = tuple(c for c in spec.sticky if c not in extra_keys)
-    merge_into_table(incoming, path, (*spec.key, *extra_keys), sticky, spec.partition)
+    merge_into_table(incoming, path, (*spec.key, *extra_keys), sticky, spec.partition, only_changes)
