@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sharefold.operators import incremental as inc
 from sharefold.operators.lookup import look_up
-from sharefold.plans import ingest
+from sharefold.plans import ingest, ingest_all
 
 
 def kept(spark, pages, stop, cutoff=None):
@@ -144,3 +144,19 @@ def test_salted_look_up_equals_the_plain_one(spark):
         salted = look_up(rows, small, "share", how, salt="page")
         assert plain.columns == salted.columns
         assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+
+
+def test_all_feeds_need_a_universe_and_older_batches_are_refused(spark, tmp_path):
+    columns = "feed string, url string, fetched_at timestamp_ntz, status int, body binary, page_no int, page_size int, share_code string"
+    body = b'var x={data:[["2018-08-01,5,1,2,3,4,5,6,7,8,9"]]}'
+    landing = spark.createDataFrame([("main_influx", "u", None, 200, body, 1, 1, "7"), ("unknown", "u", None, 200, body, 1, 1, "7")], columns)
+    with pytest.raises(ValueError, match="universe"):
+        ingest_all(landing, str(tmp_path), 1)
+    names = spark.createDataFrame([("7", "name")], "shares_code string, shares_name string")
+    options = {"main_influx": {"only_changes": True}}
+    for batch in (5, 5, 6):
+        runs = ingest_all(landing, str(tmp_path), batch, names, options)
+        assert list(runs) == ["main_influx"] and runs["main_influx"].table().count() == 1
+    with pytest.raises(ValueError, match="in order"):
+        ingest_all(landing, str(tmp_path), 5, names, options)
+    assert ingest_all(landing.where("false"), str(tmp_path), 7) == {}

@@ -162,3 +162,20 @@ def test_missing_key_part_is_one_key(spark):
     key, sticky = ["code", "day"], ["name"]
     table = upsert(upsert(None, make(spark, rows), key, sticky), make(spark, again), key, sticky)
     assert state(table) == {(None, "2018-08-01"): ("n", 2.0)}
+
+
+def test_only_changes_leaves_other_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, i, f"c{i % 5}", f"2018-08-0{i % 7 + 1}", "n", float(i)) for i in range(35)]
+    again = [(2, at, code, day, "other", price + (at == 3)) for _, at, code, day, _, price in rows]
+
+    def merge(batch):
+        make(spark, batch).write.parquet(f"{path}/in{batch[0][0]}")
+        landed = spark.read.parquet(f"{path}/in{batch[0][0]}")
+        merge_into_table(landed, path, ("code", "day"), ("name",), "day", only_changes=True)
+        files = spark.read.parquet(f"{path}/rows").inputFiles()
+        return {f.split("day=")[1].split("/")[0]: f for f in files}
+
+    before, after = merge(rows), merge(again)
+    assert [day for day in sorted(before) if before[day] != after[day]] == ["2018-08-04"]
+    assert state(read_stored(spark, path)) == by_hand(rows + again)
