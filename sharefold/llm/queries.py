@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 from sharefold.llm import secrets
 from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.chat import format_turns, read_piece, unescape
+from sharefold.llm.common import with_settled
 from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
+from sharefold.llm.hard_negatives import mine_hard_negatives
 from sharefold.llm.jaccard import jaccard_components
 from sharefold.llm.language import fit_language_model, identify_languages
 from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.line_dedup import dedup_lines
+from sharefold.llm.periodic import detect_runs
 from sharefold.llm.pii import KINDS, find_pii
 from sharefold.llm.quality import COUNTS, judge, measure
 from sharefold.llm.registry import QUERIES, SQL, query, table
+from sharefold.llm.toxicity import fit_toxicity, score_toxicity
 from sharefold.session import scratch_path
 from sharefold.sinks import pin
 
@@ -225,3 +229,73 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count_spans(F.col("found"), k + 1).alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:-1])]
     digest = F.sha2(joined_spans(base, kinds), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, joined_spans(F.col("found"), kinds).alias("spans"))
+
+
+# From this score on a document counts as toxic.
+TOXIC_FROM = 0.3
+
+
+@query()
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = fit_toxicity(docs.where(~held_out), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), F.col("_toxicity").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.c, b.c)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+        AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+@query(NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by its number's hash, repeats a stretch of its own words from some word on."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = F.coalesce(code % 10 == 0, F.lit(False))
+    split = with_settled(docs, "_words", F.when(chosen, words))
+    n, g = F.size("_words"), F.floor(code / 10)
+    a = F.try_mod(g, n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeats = F.array_repeat(F.slice("_words", a + 1, p), F.ceil((n - a) / p).cast("int"))
+    periodic = F.concat(F.slice("_words", F.lit(1), a), F.slice(F.flatten(repeats), F.lit(1), n - a))
+    return split.withColumn("text", F.when(n > 0, F.array_join(periodic, " ")).otherwise(F.col("text"))).drop("_words")
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_period(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = with_settled(detect_runs(docs).select("doc_id", "_periodic"), "r", F.col("_periodic"))
+    runs = F.col("r.runs")
+    longest = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length = -longest["l"]
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("bigint").alias("n_runs"),
+        longest["s"].alias("start"),
+        length.alias("length"),
+        longest["p"].alias("period"),
+        F.floor(1000 * length / longest["p"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("r.collapsed"), 256).alias("collapsed_sha256"),
+    )
