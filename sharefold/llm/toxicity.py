@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sharefold.llm.filters import HashFilter
+
 # Sizes of the n-grams, and log2 of the buckets they are hashed to: the model's size does not grow with the text.
 SIZES = (3, 4, 5)
 BITS = 18
@@ -19,7 +21,7 @@ MIN_CERTAINTY = 4.0
 MAX_FEATURES = 1 << 14
 
 # The weights are fitted on about so many labelled texts of each class; the ratios are counted over all of them.
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2000
 
 # Code points that are hashed at a time, so that a very long text needs no more memory than this.
 STRETCH = 1 << 18
@@ -67,11 +69,13 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500)))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """_key, _text and _toxic (0 or 1) of documents with a label. Labels that repeat a key are one: the largest."""
+def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, *more: str) -> DataFrame:
+    """_key, _text, _toxic (0 or 1) and ``more`` of documents with a label. Labels that repeat a key are one: the largest."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
     known = known.agg(F.max(F.col(label)).cast("int").alias("_toxic"))
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(known, "_key")
+    # Texts without a label are many; a filter of fixed size keeps nearly all of them out of the shuffle.
+    listed = HashFilter(known.select(F.xxhash64(F.col("_key")).alias("hash")), "hash")
+    return docs.where(listed.likely(F.xxhash64(F.col(key)))).select(F.col(key).alias("_key"), F.col(text).alias("_text"), *more).join(known, "_key")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
@@ -113,24 +117,26 @@ def log_count_ratios(counts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ratios, texts
 
 
-def _fit(rows: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression over the scaled features by Nesterov's gradient steps. A row weighs as many texts as it
+def _fit(sample: pa.Table, ratios: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression over the scaled features by Nesterov's gradient steps. A text weighs as many texts as it
     stands for, ``share`` being the drawn part of its class."""
     features = np.flatnonzero(ratios)
-    slot = np.zeros(len(ratios), np.int64)
+    slot = np.zeros(len(ratios), np.int32)
     slot[features] = np.arange(len(features))
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = slot[np.concatenate(rows)] if rows else np.zeros(0, np.int64)
+    toxic = sample.column("_toxic").to_numpy().astype(np.int64)
+    found = sample.column("found").combine_chunks()
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), found.value_lengths().to_numpy(zero_copy_only=False))
+    column = slot[found.flatten().to_numpy(zero_copy_only=False)]
     value = ratios[features][column]
-    weight = 1.0 / share[toxic]
+    weight = sample.column("count").to_numpy() / share[toxic]
     weight /= weight.sum()
     prior = float((weight * toxic).sum())
-    squares = np.bincount(row, value * value, len(rows))
+    squares = np.bincount(row, value * value, len(toxic))
     step = 1.0 / (0.25 * (squares.max(initial=0.0) + 1.0) + 1e-4)
     w, b = np.zeros(len(features)), np.log(prior / (1 - prior))
     ahead_w, ahead_b = w, b
     for k in range(800):
-        logits = np.bincount(row, ahead_w[column] * value, len(rows)) + ahead_b
+        logits = np.bincount(row, ahead_w[column] * value, len(toxic)) + ahead_b
         error = weight * (1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500))) - toxic)
         next_w = ahead_w - step * (np.bincount(column, error[row] * value, len(features)) + 1e-4 * ahead_w)
         next_b = ahead_b - step * error.sum()
@@ -169,12 +175,14 @@ def fit_toxicity(
         reader = NgramReader(wanted.value)
         return pa.array([reader.read(t).astype(np.int32) for t in values.to_pylist()], pa.list_(pa.int32()))
 
-    draw = F.pmod(F.xxhash64(F.lit("draw"), F.coalesce("_text", F.lit(""))), F.lit(1_000_000)) / 1_000_000
-    drawn = rows.where(draw < F.when(F.col("_toxic") == 1, float(share[1])).otherwise(float(share[0])))
-    found = drawn.select("_toxic", features("_text").alias("found")).groupBy("_toxic", "found").count().toArrow()
-    kept = sorted(zip(found["found"].to_pylist(), found["_toxic"].to_pylist(), found["count"].to_pylist(), strict=True))
-    sample = [(np.array(f, np.int64), t) for f, t, n in kept for _ in range(n)]
-    weights, offset = _fit([f for f, _ in sample], np.array([t for _, t in sample], np.int64), ratios, share)
+    draw = F.pmod(F.xxhash64(F.lit("draw"), F.coalesce(F.col(text), F.lit(""))), F.lit(1_000_000)) / 1_000_000
+    # Texts that no class draws stay out of this second join.
+    drawn = _labelled(docs.where(draw < float(share.max())).withColumn("_draw", draw), labels, key, text, label, "_draw")
+    drawn = drawn.where(F.col("_draw") < F.when(F.col("_toxic") == 1, float(share[1])).otherwise(float(share[0])))
+    sample = drawn.select("_toxic", features("_text").alias("found")).groupBy("_toxic", "found").count().toArrow()
+    # The sum over texts is one of floats: a fixed order makes every run's weights the same.
+    order = sorted(range(len(sample)), key=lambda i: (sample["_toxic"][i].as_py(), sample["found"][i].values.to_numpy().tobytes()))
+    weights, offset = _fit(sample.take(order), ratios, share)
     return ToxicityModel(weights, offset)
 
 
