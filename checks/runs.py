@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.feeds import AS_OF_MS, NEWS_SQL, NEWS_STEPS, customers, landed, notice_run, positional, text, timeline_landing, utf8
+from checks.feeds import AS_OF_MS, BLOCK, NEWS_SQL, TOP_BLOCK, NEWS_STEPS, customers, landed, notice_run, positional, text, timeline_landing, utf8
 from checks.registry import check, epoch_ms, json_pages, table
+from sharefold.feeds import feed
 from sharefold.functions import decode_body, epoch_to_bj
 from sharefold.functions.text import unescape
 from sharefold.operators.merge import with_arrival
 from sharefold.operators.parse import lenient_json
 from sharefold.operators.planning import page_after, pending_requests
-from sharefold.plans import ingest, ingest_all
+from sharefold.plans import ingest, ingest_all, run_metrics
 from sharefold.session import scratch_path
 from sharefold.sinks import merge_into_table, pin, read_stored, write_jsonl
-from sharefold.streaming import drop_repeats, stream_upsert
+from sharefold.sources import stream_landing
+from sharefold.streaming import drop_repeats, stream_feed, stream_upsert
 
 
 def early_news(spark, sf_dir, path):
@@ -246,3 +248,86 @@ def stream_dedup_batches(spark, sf_dir):
     )
     query.awaitTermination()
     return spark.read.parquet(f"{path}/rows").select("user_id", F.to_date("at").alias("month"))
+
+
+# Two crawls of the news timeline that look twenty days back: the first finds what there is until mid-January.
+CRAWL_DAYS = 20
+CRAWLS_SQL = f"""
+    WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms, {TOP_BLOCK} - event_id // {BLOCK} AS page_no FROM events JOIN customer ON c_custkey = user_id),
+    e1 AS (SELECT * FROM e WHERE ts < TIMESTAMP '2024-01-16'),
+    l1 AS (SELECT user_id, min(page_no) FILTER (low <= {AS_OF_MS} - {CRAWL_DAYS} * 86400000) AS last
+           FROM (SELECT user_id, page_no, min(ms) AS low FROM e1 GROUP BY 1, 2) GROUP BY 1),
+    k1 AS (SELECT e1.* FROM e1 JOIN l1 USING (user_id) WHERE last IS NULL OR page_no <= last),
+    marks AS (SELECT user_id, max(epoch_ms(date_trunc('minute', ts))) AS mark FROM k1 GROUP BY 1),
+    l2 AS (SELECT user_id, min(page_no) FILTER (low <= coalesce(mark, {AS_OF_MS} - {CRAWL_DAYS} * 86400000)) AS last
+           FROM (SELECT user_id, page_no, min(ms) AS low FROM e GROUP BY 1, 2) LEFT JOIN marks USING (user_id) GROUP BY 1),
+    k2 AS (SELECT e.* FROM e JOIN l2 USING (user_id) WHERE last IS NULL OR page_no <= last)"""
+
+
+def two_crawls(spark, sf_dir, path):
+    """A stream over landed files of two crawls, stopped and taken up again; some of a crawl's newest pages land last."""
+    events, names = table(spark, sf_dir, "events"), pin(customers(spark, sf_dir), f"{path}/names")
+    early = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    for crawl, rows in ((1, early), (2, events)):
+        pages = pin(timeline_landing(spark, sf_dir, "news", rows, crawl).withColumn("crawl", F.lit(crawl).cast("bigint")), f"{path}/crawl{crawl}")
+        first, last = (pages.select(bound("page_no")).scalar() for bound in (F.min, F.max))
+        late = (F.col("page_no") < first + (last - first) * 0.2) & (F.col("page_no") % 3 == 0)
+        for part in (~late, late):
+            pages.where(part).coalesce(1).write.mode("append").parquet(f"{path}/landing")
+        landing = stream_landing(spark, f"{path}/landing", "news", max_files=1, crawled=True)
+        stream_feed(
+            landing, "news", f"{path}/tables", f"{path}/checkpoint", universe=names,
+            mode="newest", as_of_ms=AS_OF_MS, period_days=CRAWL_DAYS,
+        ).awaitTermination()
+
+
+@check(
+    f"""{CRAWLS_SQL}
+    SELECT CAST(user_id AS VARCHAR) AS shares_code, c_name AS shares_name, event_id AS news_id, 'title ' || event_id AS news_title,
+      date_trunc('minute', ts + INTERVAL 8 HOUR) AS date
+    FROM (SELECT * FROM k1 UNION SELECT * FROM k2)"""
+)
+def newest_two_crawls(spark, sf_dir):
+    """Two newest-only crawls through one stream: as two batch runs, each cut by the marks of its own start."""
+    path = scratch_path(spark, "two-crawls")
+    two_crawls(spark, sf_dir, path)
+    rows = read_stored(spark, f"{path}/tables/{feed('news').table}")
+    return rows.select("shares_code", "shares_name", "news_id", "news_title", "date")
+
+
+# A landing with an answer of every kind: fine, empty, refused by the server, torn, and of shares nobody knows.
+METRICS_SQL = """
+    WITH p AS (SELECT event_id // 20 AS page, user_id % 5 AS b, count(*) AS n FROM events WHERE user_id % 5 < 2 GROUP BY 1, 2),
+    s AS (SELECT *, CASE page % 11 WHEN 3 THEN 'status' WHEN 5 THEN 'torn' WHEN 7 THEN 'empty' ELSE 'ok' END AS state FROM p),
+    u AS (SELECT e.*, e.event_id // 20 AS page, user_id % 5 AS b FROM events e JOIN s ON s.page = e.event_id // 20 AND s.b = e.user_id % 5 AND state = 'ok'),
+    k AS (SELECT user_id, CAST(ts AS DATE) AS d, b, page FROM u WHERE event_type <> 'error')
+    SELECT s.b + 1 AS batch, count(*) AS pages, count(*) FILTER (state IN ('status', 'torn')) AS refetches, 0::BIGINT AS bad_shapes,
+      any_value(x.units) AS units, any_value(x.accepted) AS accepted, any_value(x.rejects) AS rejects,
+      any_value(y.n) AS rows_new, 0::BIGINT AS rows_changed
+    FROM s JOIN (SELECT b, count(*) AS units, count(*) FILTER (event_type <> 'error') AS accepted, count(*) FILTER (event_type = 'error') AS rejects
+                 FROM u GROUP BY b) x ON x.b = s.b
+    JOIN (SELECT b, count(DISTINCT (user_id, d)) AS n FROM k GROUP BY b) y ON y.b = s.b GROUP BY s.b
+    UNION ALL
+    SELECT 3, count(*), count(*) FILTER (state IN ('status', 'torn')), 0, (SELECT count(*) FROM u WHERE b = 1),
+      (SELECT count(*) FROM u WHERE b = 1 AND event_type <> 'error'), (SELECT count(*) FROM u WHERE b = 1 AND event_type = 'error'),
+      0, (SELECT count(DISTINCT (user_id, d)) FROM k WHERE b = 1)
+    FROM s WHERE b = 1"""
+
+
+@check(METRICS_SQL)
+def metrics_of_runs(spark, sf_dir):
+    """What three batches say they read, refused and changed; the third repeats the second one's rows, the second runs twice."""
+    path = scratch_path(spark, "metrics")
+    day = F.when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise("")
+    places = {0: F.lit("1"), 1: text("user_id"), 2: F.col("event_type"), 3: text("value"), 24: day}
+    events = table(spark, sf_dir, "events").withColumn("b", F.col("user_id") % 5)
+    pages = json_pages(events.where("b < 2"), F.floor(F.col("event_id") / 20), "event_id", positional(places, 25), keep=("b",))
+    kind = F.col("page") % 11
+    units = F.when(kind == 7, F.lit("[]")).otherwise(F.to_json("units"))
+    body = utf8("jQuery({data: ", units, F.when(kind == 5, "").otherwise(", recordsFiltered: 20})"))
+    landing = pin(pages.select("b", "page", body.alias("body")), f"{path}/bodies")
+    for batch, part in ((1, 0), (2, 1), (2, 1), (3, 1)):
+        own = landed(landing.where(F.col("b") == part), "basic_index", "body", F.col("page") + batch * 10_000_000)
+        failed = F.when(F.regexp_extract("url", r"page=(\d+)", 1).cast("bigint") % 10_000_000 % 11 == 3, 500).otherwise(200)
+        ingest(own.withColumn("status", failed.cast("int")), "basic_index", path, batch)
+    return run_metrics(spark, path, "basic_index").drop("run")

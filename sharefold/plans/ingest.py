@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -19,13 +18,13 @@ from sharefold.feeds import BASIC_INDEX, FEEDS, FeedSpec, feed
 from sharefold.functions import as_of_ms as run_time
 from sharefold.functions.clock import wall_clock_to_epoch_ms
 from sharefold.operators import incremental as inc
-from sharefold.operators.merge import with_arrival
-from sharefold.operators.parse import OK, parse_feed
+from sharefold.operators.merge import FIRST, LAST, with_arrival
+from sharefold.operators.parse import BAD_SHAPE, OK, REFETCH, parse_feed
 from sharefold.operators.shares import enrich_share, high_water, require_shares, share_universe, with_cutoff
 from sharefold.operators.store import key_rules, stored_projection, with_reasons
-from sharefold.sinks.tables import merge_feed, pin, read_stored
+from sharefold.sinks.tables import merge_feed, pin, read_if_there, read_stored
 
-ARRIVAL = ("batch", "fetched_at", "page_no", "unit_pos")
+ARRIVAL = ("batch", "run", "fetched_at", "page_no", "unit_pos")
 
 
 @dataclass(frozen=True)
@@ -44,15 +43,15 @@ class FeedRun:
 
     @property
     def parsed_path(self) -> str:
-        return f"{self.run_path}/batch={self.batch}"
-
-    @property
-    def run_path(self) -> str:
-        """Parsed rows of all batches of the run."""
-        return f"{self.root}/_parsed/{self.spec.name}/run={self.run}"
+        return f"{self.root}/_parsed/{self.spec.name}/run={self.run}/batch={self.batch}"
 
     def lookup_path(self, name: str) -> str:
-        return f"{self.root}/_lookups/{self.spec.name}/{name}/batch={self.batch}"
+        """Where this batch keeps a look-up."""
+        return f"{self.run_lookup_path(name)}/batch={self.batch}"
+
+    def run_lookup_path(self, name: str) -> str:
+        """Where all batches of the run keep theirs."""
+        return f"{self.root}/_lookups/{self.spec.name}/{name}/run={self.run}"
 
     def parsed(self) -> DataFrame:
         return self.spark.read.parquet(self.parsed_path)
@@ -66,7 +65,7 @@ class FeedRun:
         """Parsed rows of this batch on the pages that the run took."""
         if not self.spec.timeline:
             return self.parsed()
-        last = _written(self.spark, self.lookup_path("last_pages"))
+        last = read_if_there(self.spark, self.lookup_path("last_pages"))
         return self.parsed() if last is None else inc.keep_pages(self.parsed(), last, "share_code", "page_no")
 
     def units(self, rows: DataFrame) -> DataFrame:
@@ -88,21 +87,32 @@ class FeedRun:
         pages = self.parsed().where(F.col("page_state") != OK)
         return pages.select("feed", "url", "share_code", "page_no", "fetched_at", "page_state")
 
-    def judged(self, rows: DataFrame | None = None) -> DataFrame:
-        """Stored form of the batch's units with the rules each breaks. Cheap to compute again, so not kept."""
+    def judge(self, rows: DataFrame) -> DataFrame:
+        """Stored form of the units among parsed rows, with their arrival and the rules each breaks."""
         spec = self.spec
-        units = self.units(self.taken() if rows is None else rows)
-        if "batch" not in units.columns:
-            units = units.withColumn("batch", F.lit(self.batch).cast("bigint"))
+        numbers = {"batch": F.lit(self.batch).cast("bigint"), "run": F.lit(self.run).cast("bigint")}
+        units = self.units(rows).withColumns(numbers)
         rules, keep = key_rules(spec), ("url", *ARRIVAL)
         if spec.per_share:
             rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
         return with_reasons(stored_projection(units, spec, keep=keep), rules)
 
+    @property
+    def judged_path(self) -> str:
+        return f"{self.root}/_judged/{self.spec.name}/run={self.run}/batch={self.batch}"
+
+    def judged(self) -> DataFrame:
+        """The batch's units as they were judged; ``reject_reason`` is '' for those that went on to the table."""
+        return self.spark.read.parquet(self.judged_path)
+
     def rejects(self) -> DataFrame:
         """Units that could not be stored, with the reason."""
         return self.judged().where(F.col("reject_reason") != "")
 
+    def metrics(self) -> DataFrame:
+        """What this batch read and changed, one row; see ``run_metrics``."""
+        return self.spark.read.schema(METRICS_SCHEMA).parquet(_metrics_path(self))
+
     def counters(self) -> DataFrame:
         """Paging counters of this batch's pages, one row per page, for the page plan."""
         columns = ("feed", "url", "share_code", "page_no", "page_size", "total_rows", "total_pages")
@@ -110,10 +120,34 @@ class FeedRun:
         return self.parsed().where((F.col("page_state") == OK) & first_rows).select(*columns)
 
 
+# What the steps of a run count while they write; none of it costs a job over the data.
+METRICS = ("pages", "refetches", "bad_shapes", "units", "accepted", "rejects", "rows_new", "rows_changed")
+METRICS_SCHEMA = StructType([StructField(name, LongType()) for name in METRICS])
+
+
+def _metrics_path(run: FeedRun) -> str:
+    return f"{run.root}/_metrics/{run.spec.name}/run={run.run}/batch={run.batch}"
+
+
+def run_metrics(spark: SparkSession, root: str, feed_name: str) -> DataFrame:
+    """What each run and batch of a feed read and changed: run, batch and METRICS. A batch that ran again counts once.
+
+    ``pages`` are responses, ``refetches`` and ``bad_shapes`` those to ask for again, ``units`` rows on good pages;
+    ``accepted`` and ``rejects`` are the units that the run judged, those on pages beyond its cut not among them;
+    ``rows_new`` and ``rows_changed`` are stored rows that the batch added, or gave their newest value.
+    """
+    schema = StructType([StructField("run", LongType()), StructField("batch", LongType()), *METRICS_SCHEMA])
+    return spark.read.schema(schema).parquet(f"{root}/_metrics/{feed_name}")
+
+
+def _total(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, 1)), F.lit(0))
+
+
 def stage_feed(
     landing: DataFrame, spec: FeedSpec, run: FeedRun, universe: DataFrame | None = None
-) -> DataFrame:
-    """Parses a batch and writes it; returns the written rows."""
+) -> tuple[DataFrame, dict[str, int]]:
+    """Parses a batch and writes it; returns the written rows and what was counted meanwhile."""
     rows = parse_feed(landing.where(F.col("feed") == spec.name), spec, keep_empty=True)
     if spec.per_share:
         if universe is None:
@@ -126,39 +160,54 @@ def stage_feed(
         names = names.groupBy("share_code").agg(F.min("name").alias("name"), F.lit(True).alias("share_known"))
         names = require_shares(pin(names, run.lookup_path("shares")))
         rows = enrich_share(rows, names, how="left")
-    return pin(rows, run.parsed_path)
+    seen, page = Observation(), F.coalesce(F.col("unit_pos"), F.lit(0)) == 0
+    watched = rows.observe(
+        seen,
+        _total(page).alias("pages"),
+        _total(page & (F.col("page_state") == REFETCH)).alias("refetches"),
+        _total(page & (F.col("page_state") == BAD_SHAPE)).alias("bad_shapes"),
+        _total((F.col("page_state") == OK) & F.col("unit_pos").isNotNull()).alias("units"),
+    )
+    return pin(watched, run.parsed_path), seen.get
 
 
 def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int | None, days: int) -> DataFrame:
-    """Page-exact cut of a timeline, as a reader walking pages newest first would take them."""
+    """Page-exact cut of a batch of a timeline, as a reader walking pages newest first would take them.
+
+    A run's walk ends on the first page that reaches the cut, whichever batch brings it. So a batch only needs, of the
+    batches before it, the pages that ended the walk of a share: later ones move an end forward and never back, and a page
+    that was left out stays out. Each batch notes the ends it finds, and its own rows are all it reads.
+    """
     if mode == inc.ALL:
         return rows
-    now = run_time(as_of)
+    now = _started(run, as_of)
     bounds = inc.page_bounds(rows.where(F.col("page_state") == OK), "share_code", "page_no", "created_ms")
     if mode == inc.PERIOD:
         stop = inc.stop_rule(mode, now, days)
     else:
         bounds = with_cutoff(bounds, _marks(spec, run), "share_code", "mark", inc.period_start(now, days))
         stop = inc.stop_rule(mode, now, days, F.col("cutoff"))
-    last = pin(inc.last_pages(bounds, "share_code", "page_no", stop), run.lookup_path("last_pages"))
+    ends = inc.last_pages(bounds, "share_code", "page_no", stop).where(F.col("last_page").isNotNull())
+    pin(ends, run.lookup_path("ends"))
+    known = run.spark.read.schema(ends.schema).parquet(run.run_lookup_path("ends"))
+    last = pin(known.groupBy("share_code").agg(F.min("last_page").alias("last_page")), run.lookup_path("last_pages"))
     return inc.keep_pages(rows, last, "share_code", "page_no")
 
 
-def _written(spark: SparkSession, path: str) -> DataFrame | None:
-    """What is at ``path``, None when there is nothing."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def _started(run: FeedRun, as_of: int | None) -> Column:
+    """Time of the run: its first batch notes it and all others keep it."""
+    path = run.run_lookup_path("started")
+    noted = read_if_there(run.spark, path)
+    if noted is None:
+        noted = pin(run.spark.range(1).select(run_time(as_of).alias("as_of_ms")), path)
+    return F.lit(noted.head().as_of_ms)
 
 
 def _marks(spec: FeedSpec, run: FeedRun) -> DataFrame:
     """Newest stored time per share as the run found it. Its first batch writes the marks and all others read them, so
     what a run has stored itself never ends its walk."""
-    path = f"{run.root}/_lookups/{spec.name}/marks/run={run.run}"
-    known = _written(run.spark, path)
+    path = run.run_lookup_path("marks")
+    known = read_if_there(run.spark, path)
     if known is not None:
         return known
     stored = run.table()
@@ -174,7 +223,7 @@ def _marks(spec: FeedSpec, run: FeedRun) -> DataFrame:
 def _refuse_older(run: FeedRun) -> None:
     """Notes the batch as the feed's last one; an error where a later one was noted before."""
     path = f"{run.root}/_lookups/{run.spec.name}/last_batch"
-    known = _written(run.spark, path)
+    known = read_if_there(run.spark, path)
     last = None if known is None else known.agg(F.max("batch").alias("batch")).head().batch
     if last is not None and run.batch < last:
         raise ValueError(f"batch {run.batch} of {run.spec.name} comes after batch {last}: only_changes needs them in order")
@@ -199,8 +248,9 @@ def ingest(
 
     ``batch`` is the arrival number of the batch; running the same batch again changes nothing. ``mode`` (all,
     period, newest) matters for timelines only. A run whose pages land in several batches names them all by one
-    ``run_id`` (the first batch's number, say): its marks are those of its start, and each batch cuts over all pages of
-    the run that have landed. Without it every batch is a run of its own.
+    ``run_id`` (the first batch's number, say): its time and its marks are those of its start, and its walk over a share ends
+    where any of its batches ended it. Without it every batch is a run of its own. Pages of several crawls must not be one
+    run, since their page numbers mean different pages: ``ingest_crawls`` takes them apart. An empty page ends a walk.
 
     ``only_changes`` rewrites only partitions in which a value changes, for feeds whose responses repeat a long
     history. It then matters that batches come in order, so one older than the last is refused with a ValueError.
@@ -210,18 +260,43 @@ def ingest(
     run = FeedRun(landing.sparkSession, spec, root, batch, batch if run_id is None else run_id)
     if only_changes:
         _refuse_older(run)
-    rows = stage_feed(landing, spec, run, universe)
-    if spec.timeline and mode != inc.ALL:
-        schema = StructType([*rows.schema.fields, StructField("batch", LongType())])
-        rows = run.spark.read.schema(schema).parquet(run.run_path)
+    rows, counted = stage_feed(landing, spec, run, universe)
+    if spec.timeline:
         rows = _cut(rows, spec, run, mode, as_of_ms, period_days)
-    good = run.judged(rows).where(F.col("reject_reason") == "")
+    seen, sound = Observation(), F.col("reject_reason") == ""
+    judged = run.judge(rows).observe(seen, _total(sound).alias("accepted"), _total(~sound).alias("rejects"))
+    judged = pin(judged, run.judged_path)
     partition = [spec.partition] if spec.partition not in spec.columns else []
-    incoming = with_arrival(good, ARRIVAL).select(*spec.columns, *partition, "_first_seq", "_last_seq")
-    merge_feed(incoming, run.table_path, spec, extra_keys, only_changes)
+    incoming = with_arrival(judged.where(sound), ARRIVAL).select(*spec.columns, *partition, FIRST, LAST)
+    first, last = ((F.col(f"{seq}.batch") == batch) & (F.col(f"{seq}.run") == run.run) for seq in (FIRST, LAST))
+    watch = {"rows_new": _total(first), "rows_changed": _total(last & ~first)}
+    changed = merge_feed(incoming, run.table_path, spec, extra_keys, only_changes, watch)
+    counts = {**counted, **seen.get, **changed}
+    pin(run.spark.range(1).select(*[F.lit(counts[n]).cast("bigint").alias(n) for n in METRICS]), _metrics_path(run))
     return run
 
 
+def ingest_crawls(
+    landing: DataFrame, feed_name: str, root: str, batch: int, universe: DataFrame | None = None, **options: object
+) -> dict[int, FeedRun]:
+    """``ingest`` of a batch that brings pages of several crawls, named by the landing's column ``crawl``.
+
+    Crawls are taken one after another by their number. Each is a run of its own: the marks of a crawl are what is stored
+    when its first page lands, rows of the crawls before it included, and pages of an older crawl that land late are still
+    cut by that crawl's marks. A landing has a handful of crawls at a time; their numbers come to the driver. A page
+    without a crawl is an error.
+    """
+    if "crawl" not in landing.columns:
+        raise ValueError("the landing needs the column crawl")
+    crawls = sorted((r.crawl for r in landing.where(F.col("feed") == feed_name).select("crawl").distinct().collect()), key=lambda c: (c is not None, c))
+    if None in crawls:
+        raise ValueError("a page without a crawl number")
+    return {
+        crawl: ingest(landing.where(F.col("crawl") == crawl), feed_name, root, batch, universe, run_id=crawl, **options)
+        for crawl in crawls
+    }
+
+
 def ingest_all(
     landing: DataFrame,
     root: str,

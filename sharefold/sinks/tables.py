@@ -8,8 +8,10 @@ dies between the two steps is finished by ``resume`` from what is on disk.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,22 +21,32 @@ from sharefold.operators.merge import FIRST, LAST, fold_by_key, upsert
 MERGED, APPLIED = "merged", "applied"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Is there anything below ``path``, on whatever file system it names?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(place) and files.listStatus(place).__len__() > 0
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The files at ``path``, None when there are none yet; a known schema saves the job that reads it."""
+    if not is_there(spark, path):
+        return None
     try:
         return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # A folder with a mark of success and no rows.
+        if missing.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
 def read_stored(spark: SparkSession, path: str, hidden: bool = False) -> DataFrame | None:
     """The stored table, or None when nothing was stored yet."""
-    rows = _read(spark, f"{path}/rows")
+    rows = read_if_there(spark, f"{path}/rows")
     if rows is None:
         # A first batch without good rows leaves no partition to read the columns from.
-        merged = _read(spark, f"{path}/merged")
+        merged = read_if_there(spark, f"{path}/merged")
         rows = None if merged is None else merged.where(F.lit(False))
     return rows if rows is None or hidden else rows.drop(FIRST, LAST)
 
@@ -45,7 +57,7 @@ def _note(spark: SparkSession, path: str, step: str) -> None:
 
 def _apply(spark: SparkSession, path: str, partition: str, schema: T.StructType | None = None) -> None:
     (
-        _read(spark, f"{path}/merged", schema)
+        read_if_there(spark, f"{path}/merged", schema)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -56,7 +68,7 @@ def _apply(spark: SparkSession, path: str, partition: str, schema: T.StructType
 
 def resume(spark: SparkSession, path: str, partition: str) -> bool:
     """Finishes a batch that was merged but not applied; tells whether there was one."""
-    state = _read(spark, f"{path}/state", T.StructType([T.StructField("step", T.StringType())]))
+    state = read_if_there(spark, f"{path}/state", T.StructType([T.StructField("step", T.StringType())]))
     left = None if state is None else state.head()
     if left is None or left.step != MERGED:
         return False
@@ -71,16 +83,22 @@ def pin(small: DataFrame, path: str) -> DataFrame:
     return small.sparkSession.read.schema(small.schema).parquet(path)
 
 
-def _touched(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
-    """Stored rows of the partitions that ``incoming`` touches, NULL among them.
+def touched_partitions(incoming: DataFrame, partition: str, path: str) -> DataFrame:
+    """The partitions that ``incoming`` touches, with its rows in each. Written out: one row per partition folder."""
+    return pin(incoming.groupBy(partition).agg(F.count(F.lit(1)).alias("rows")), f"{path}/touched")
+
+
+def stored_in(stored: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of exactly the partitions in ``touched``, NULL among them.
 
-    The batch's lowest and highest partition, found while the query runs, prune the scan; a null-safe semi-join
-    then leaves out what lies between. One form serves any number of partitions, and nothing comes to the driver.
+    The list joins the stored table on its partition column by plain equality, so dynamic partition pruning skips every
+    other folder before it is opened. A null never equals another: where the list has it, its folder is a branch of its own.
     """
-    low, high = (incoming.select(bound(partition)).scalar() for bound in (F.min, F.max))
-    near = stored.where(F.col(partition).between(low, high) | F.col(partition).isNull())
-    values = incoming.select(F.col(partition).alias("_touched")).distinct()
-    return near.join(values, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    listed = touched.where(F.col("rows") > 0).select(F.col(partition).alias("_touched"))
+    known = stored.join(listed, F.col(partition) == F.col("_touched"), "left_semi")
+    if touched.where(F.col(partition).isNull()).isEmpty():
+        return known
+    return known.unionByName(stored.where(F.col(partition).isNull()))
 
 
 def _changes(stored: DataFrame, incoming: DataFrame, key: tuple[str, ...], sticky: tuple[str, ...]) -> DataFrame:
@@ -99,7 +117,8 @@ def merge_into_table(
     sticky: tuple[str, ...],
     partition: str,
     only_changes: bool = False,
-) -> None:
+    watch: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """Folds a batch into the table at ``path``; one writer at a time.
 
     ``incoming`` carries arrivals (``with_arrival``), which makes a repeated batch harmless, and is read twice:
@@ -107,25 +126,39 @@ def merge_into_table(
 
     ``only_changes`` leaves rows out that say what is stored already, so that partitions without a change are read
     but not rewritten. Such a row does not count as the newest arrival of its key: batches must then come in order.
+
+    ``watch`` names aggregates over the merged rows, arrivals among their columns. They are taken while the rows are
+    written and returned.
     """
     spark = incoming.sparkSession
     resume(spark, path, partition)
-    stored = _read(spark, f"{path}/rows", incoming.schema)
+    stored = read_if_there(spark, f"{path}/rows", incoming.schema)
     if stored is not None:
-        stored = stored.select(*incoming.columns)
+        everything = stored.select(*incoming.columns)
+        stored = stored_in(everything, touched_partitions(incoming, partition, path), partition)
         if only_changes:
-            incoming = pin(_changes(_touched(stored, incoming, partition), incoming, key, sticky), f"{path}/changed")
-        stored = _touched(stored, incoming, partition)
+            incoming = pin(_changes(stored, incoming, key, sticky), f"{path}/changed")
+            stored = stored_in(everything, touched_partitions(incoming, partition, path), partition)
     merged = upsert(stored, incoming, key, sticky)
+    seen = Observation()
     # Rows of one partition come together here, a large one in several tasks, so replacing needs no further shuffle.
-    merged.hint("rebalance", partition).write.mode("overwrite").parquet(f"{path}/merged")
+    dealt = merged.hint("rebalance", partition)
+    # Observed last: what stands below an exchange is lost from the plan when no row passes it.
+    dealt = dealt.observe(seen, *[total.alias(name) for name, total in watch.items()]) if watch else dealt
+    dealt.write.mode("overwrite").parquet(f"{path}/merged")
     _note(spark, path, MERGED)
     _apply(spark, path, partition, merged.schema)
+    return seen.get if watch else {}
 
 
 def merge_feed(
-    incoming: DataFrame, path: str, spec: FeedSpec, extra_keys: tuple[str, ...] = (), only_changes: bool = False
-) -> None:
+    incoming: DataFrame,
+    path: str,
+    spec: FeedSpec,
+    extra_keys: tuple[str, ...] = (),
+    only_changes: bool = False,
+    watch: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """``merge_into_table`` with a feed's key. ``extra_keys`` splits keys further, such as by holder."""
     sticky = tuple(c for c in spec.sticky if c not in extra_keys)
-    merge_into_table(incoming, path, (*spec.key, *extra_keys), sticky, spec.partition, only_changes)
+    return merge_into_table(incoming, path, (*spec.key, *extra_keys), sticky, spec.partition, only_changes, watch)

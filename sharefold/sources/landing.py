@@ -19,11 +19,14 @@ LANDING_SCHEMA = T.StructType(
     ]
 )
 
+# A landing that several crawls feed also names the crawl of each response.
+CRAWLED_SCHEMA = T.StructType([*LANDING_SCHEMA.fields, T.StructField("crawl", T.LongType())])
 
-def read_landing(spark: SparkSession, path: str, feed: str | None = None) -> DataFrame:
+
+def read_landing(spark: SparkSession, path: str, feed: str | None = None, crawled: bool = False) -> DataFrame:
     """The landing table, cut to one feed by a filter that reaches the scan. How finely it is split is the session's
-    choice (``spark.sql.files.maxPartitionBytes``)."""
-    landing = spark.read.schema(LANDING_SCHEMA).parquet(path)
+    choice (``spark.sql.files.maxPartitionBytes``). ``crawled``: it has the column ``crawl``."""
+    landing = spark.read.schema(CRAWLED_SCHEMA if crawled else LANDING_SCHEMA).parquet(path)
     if feed is not None:
         landing = landing.where(F.col("feed") == feed)
     return landing
@@ -51,10 +54,10 @@ def read_landing_files(spark: SparkSession, path: str, feed: str, pattern: str =
 
 
 def stream_landing(
-    spark: SparkSession, path: str, feed: str | None = None, max_files: int | None = None
+    spark: SparkSession, path: str, feed: str | None = None, max_files: int | None = None, crawled: bool = False
 ) -> DataFrame:
     """The landing table as a stream of newly landed files."""
-    reader = spark.readStream.schema(LANDING_SCHEMA)
+    reader = spark.readStream.schema(CRAWLED_SCHEMA if crawled else LANDING_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     landing = reader.parquet(path)

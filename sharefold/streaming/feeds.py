@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sharefold.feeds import feed
+from sharefold.operators.incremental import ALL, cut_mode
 from sharefold.operators.merge import with_arrival
-from sharefold.plans.ingest import ingest
+from sharefold.plans.ingest import ingest, ingest_crawls
 from sharefold.sinks.tables import merge_into_table
 
 # Fixed value: how late a row may be and still be recognised as a repeat.
@@ -72,12 +74,17 @@ def stream_feed(
 ) -> StreamingQuery:
     """Runs ``ingest`` on each micro-batch of a landing stream; ``first_batch`` as in ``stream_upsert``.
 
-    All micro-batches of a timeline are one run, named by ``first_batch``; pass ``run_id`` to name it otherwise. A stream
-    that starts over with a new ``first_batch`` takes its marks anew.
+    A period or newest-only timeline needs the landing's column ``crawl`` (see ``ingest_crawls``): a stream outlives many
+    crawls, and each has marks of its own that are taken when its first page lands. Without it such a stream is refused.
+    What each micro-batch read and changed is in ``run_metrics``.
     """
-    options.setdefault("run_id", first_batch)
+    spec, mode = feed(feed_name), cut_mode(str(options.get("mode", ALL)))
+    crawled = spec.timeline and mode != ALL
+    if crawled and "crawl" not in landing.columns:
+        raise ValueError(f"a stream of {feed_name} in mode {mode} needs the column crawl")
 
     def write(rows: DataFrame, batch: int) -> None:
-        ingest(rows, feed_name, root, first_batch + batch, universe=universe, **options)
+        take = ingest_crawls if crawled else ingest
+        take(rows, feed_name, root, first_batch + batch, universe=universe, **options)
 
     return _start(landing, write, checkpoint, available_now)
