@@ -25,6 +25,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOOKUPS = 3
 MIN_AGREEING = 2
 
+# A template's number and a place in one number: places are below this.
+START = 1 << 40
+
 
 @dataclass(frozen=True)
 class Template:
@@ -118,22 +121,36 @@ def alignments(docs: DataFrame, idf: dict[str, float], templates: tuple[Template
     )
     staged = docs.select(F.col(key).alias("_doc"), F.xxhash64(text).alias("_row"), F.explode(F.array(words_of(F.col(text)))).alias("w"))
     staged = with_settled(with_settled(staged, "has", has).where(F.size("has") > 0), "chosen", chosen)
+    staged = staged.where(F.size("chosen") > 0)
+    staged = with_settled(staged, "wanted", F.map_from_entries(F.transform("chosen", lambda c: F.struct(c["t"], c["words"]))))
     looked = F.array_distinct(F.flatten(F.col("chosen")["words"]))
-    staged = with_settled(staged.where(F.size("chosen") > 0), "looked", looked)
-    longest = max(len(t.words) for t in templates)
-    hits = (
-        staged.select("_doc", "_row", "w", "chosen", "looked", F.posexplode("w").alias("pos", "word"))
-        .where(F.array_contains("looked", F.col("word")))
-        .select("_doc", "_row", "w", "chosen", "pos", "word", F.explode(postings[F.col("word")]).alias("p"))
-        .withColumn("start", F.col("pos") - F.col("p.at"))
-        .where((F.col("start") >= 0) & F.exists("chosen", lambda c: (c["t"] == F.col("p.t")) & F.array_contains(c["words"], F.col("word"))))
-        .select("_doc", "_row", F.col("p.t").alias("t"), "start", F.col("p.at").alias("at"), F.slice("w", F.col("start") + 1, longest).alias("near"))
+    staged = with_settled(staged, "looked", looked)
+    places = F.filter(
+        F.transform("w", lambda x, i: F.when(F.array_contains("looked", x), F.struct(x.alias("word"), i.alias("pos")))), lambda h: h.isNotNull()
     )
-    agreed = hits.groupBy("_doc", "_row", "t", "start").agg(F.count_distinct("at").alias("votes"), F.any_value("near").alias("near"))
-
-    placed = agreed.withColumn("own", F.element_at(table, F.col("t") + 1))
-    stands = F.transform(F.col("own.words"), lambda w, i: F.coalesce(F.get("near", i) == w, F.lit(False)))
-    placed = with_settled(placed, "stands", stands)
+    # A start is one number, template and place, since distinct numbers are hashed and distinct structs are not.
+    starts = F.flatten(
+        F.transform(
+            places,
+            lambda h: F.transform(
+                F.filter(postings[h["word"]], lambda p: (h["pos"] >= p["at"]) & F.array_contains(F.col("wanted")[p["t"]], h["word"])),
+                lambda p: p["t"].cast("bigint") * START + h["pos"] - p["at"],
+            ),
+        )
+    )
+    staged = with_settled(staged, "starts", F.array_distinct(starts))
+
+    def aligned(code: Column) -> Column:
+        """The template's number, its place, which of its words stand there and how many of the looked-up ones do."""
+        t, start = F.floor(code / START).cast("int"), (code % START).cast("int")
+        words = F.element_at(table, t + 1)["words"]
+        stands = F.transform(words, lambda x, i: F.coalesce(F.get("w", start + i) == x, F.lit(False)))
+        voting = F.transform(words, lambda x, i: F.array_contains(F.col("wanted")[t], x) & F.coalesce(F.get("w", start + i) == x, F.lit(False)))
+        return F.struct(t.alias("t"), start.alias("start"), stands.alias("stands"), F.size(F.filter(voting, lambda v: v)).alias("votes"))
+
+    # All of this is work on one text's own array: a row per alignment leaves it, and the words stay behind.
+    found = staged.select("_doc", "_row", F.explode(F.transform("starts", aligned)).alias("a")).select("_doc", "_row", "a.*")
+    placed = found.withColumn("own", F.element_at(table, F.col("t") + 1))
     mass = F.aggregate(
         F.arrays_zip("stands", F.col("own.idf").alias("idf")), F.lit(0.0), lambda s, x: s + F.when(x["stands"], x["idf"]).otherwise(F.lit(0.0))
     )

@@ -11,6 +11,7 @@ from fixtures import LONG, documents, empty, prose
 from pyspark.sql import functions as F
 
 from sharefold.llm.hard_negatives import Packing, mine_hard_negatives
+from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.periodic import detect_runs, frequent_segments, kept_words, periodic_runs, word_numbers
 from sharefold.llm.queries import QUERIES
 from sharefold.llm.toxicity import STRETCH, NgramReader, fit_toxicity, score_toxicity
@@ -218,3 +219,16 @@ def test_ngrams_over_the_border_of_two_stretches():
     found = set(whole.read(text).tolist())
     assert all(set(whole.read(p).tolist()) <= found for p in pieces)
     assert whole.read("").size == 0 and whole.read("\ud800\ud800x").size
+
+
+# License scans of long texts
+
+
+def test_a_long_text_full_of_license_phrases(spark):
+    texts = [(1, "mit license " * 10_000), (2, "the of in license " * 5_000 + "Apache License"), (3, prose(4, 40)), (4, "mit License, MIT license")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert (found[1].n_words, found[1].n_base, found[1].first_word, found[1].last_word) == (20_000, 10_000, 0, 19_998)
+    assert (found[2].n_base, found[2].first_word, found[2].base_labels) == (1, 20_000, "apache")
+    assert (found[3].n_base, found[3].first_word, found[3].labels) == (0, None, "")
+    assert (found[4].n_base, found[4].base_labels, found[4].score) == (2, "mit", 1.0)
