@@ -36,40 +36,27 @@ def corpus(seed=1, n=30):
     return rows
 
 
-def removed_lines(rows, hashes, least=50):
-    """Brute force of line dedup: windows, their longest line, its first place anywhere, and the run around it. Lines
-    of as many words are ordered by hash, as the operator does."""
-    from itertools import count
-
+def removed_lines(rows, least=50):
+    """Brute force of line dedup, from the definition: every run of whole lines with enough words, wherever it starts and
+    ends, goes when the same run stands at an earlier place that it does not overlap."""
     seqs = {i: [(k, t, len(t.split())) for k, t in enumerate((text or "").split("\n")) if t.split()] for i, text, *_ in rows}
-    places = {}
+    first, gone = {}, {i: set() for i in seqs}
     for i, seq in sorted(seqs.items()):
         for start in range(len(seq)):
-            words, end = 0, start
-            while end < len(seq) and words < least:
-                words += seq[end][2]
-                end += 1
-            if words >= least:
-                best = max(range(start, end), key=lambda k: (seq[k][2], hashes[seq[k][1]], k))  # noqa: B023
-                places.setdefault(seq[best][1], set()).add((i, best))
-    gone = {i: set() for i in seqs}
-    for found in places.values():
-        first = min(found)
-        for i, p in found - {first}:
-            a, b, q = seqs[i], seqs[first[0]], first[1]
-            back = next(k for k in count() if p - k < 0 or q - k < 0 or a[p - k][1] != b[q - k][1]) - 1
-            ahead = next(k for k in count() if p + k >= len(a) or q + k >= len(b) or a[p + k][1] != b[q + k][1]) - 1
-            run = a[p - back : p + ahead + 1]
-            if sum(x[2] for x in run) >= least:
-                gone[i].update(x[0] for x in run)
+            for end in range(start + 1, len(seq) + 1):
+                if sum(x[2] for x in seq[start:end]) >= least:
+                    run = tuple(x[1] for x in seq[start:end])
+                    j, stop = first.setdefault(run, (i, end))
+                    if j != i or start >= stop:
+                        gone[i].update(x[0] for x in seq[start:end])
     return gone
 
 
 @pytest.mark.parametrize("seed", [3, 4])
 def test_lines_equal_brute_force(spark, seed):
     rows = corpus(seed, 40)
-    every = spark.createDataFrame([(t,) for _, text, *_ in rows for t in text.split("\n")], "line string")
-    gone = removed_lines(rows, {r[0]: r[1] for r in every.select("line", F.xxhash64("line")).collect()})
+    rows.append((100, "\n".join([prose(1, 10)] * 30 + ["", *lines(8, 2)] + [prose(1, 10)] * 3), "en", "h"))
+    gone = removed_lines(rows)
     assert sum(map(len, gone.values())) > 10
     for r in dedup_lines(documents(spark, rows)).collect():
         text = next(t for i, t, *_ in rows if i == r.doc_id)
@@ -87,6 +74,15 @@ def test_repeated_passage_goes_and_short_lines_stay(spark):
     assert found[2].split("\n") == [*lines(5, 2), "more"]
 
 
+def test_a_repeat_whose_line_stood_elsewhere_before(spark):
+    """The longest line stands in other surroundings first; the run around it is still a repeat of the second text's."""
+    line, before, after = prose(60, 30), prose(61, 12), prose(62, 12)
+    run = [before, line, after]
+    rows = [(1, "\n".join([prose(63, 9), line, prose(64, 9)]), "en", "h"), (2, "\n".join(run), "en", "h"), (3, "\n".join([*run, prose(65, 9)]), "en", "h")]
+    found = {r.doc_id: r for r in dedup_lines(documents(spark, rows)).collect()}
+    assert [found[i]._removed for i in (1, 2, 3)] == [0, 0, 3] and found[3].text == prose(65, 9)
+
+
 def test_lines_of_odd_rows(spark):
     docs = documents(spark)
     found = dedup_lines(docs)
