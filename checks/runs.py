@@ -12,7 +12,7 @@ from sharefold.functions.text import unescape
 from sharefold.operators.merge import with_arrival
 from sharefold.operators.parse import lenient_json
 from sharefold.operators.planning import page_after, pending_requests
-from sharefold.plans import ingest, ingest_all, run_metrics
+from sharefold.plans import ingest, ingest_all, replay_rejects, run_metrics
 from sharefold.session import scratch_path
 from sharefold.sinks import merge_into_table, pin, read_stored, write_jsonl
 from sharefold.sources import stream_landing
@@ -331,3 +331,26 @@ def metrics_of_runs(spark, sf_dir):
         failed = F.when(F.regexp_extract("url", r"page=(\d+)", 1).cast("bigint") % 10_000_000 % 11 == 3, 500).otherwise(200)
         ingest(own.withColumn("status", failed.cast("int")), "basic_index", path, batch)
     return run_metrics(spark, path, "basic_index").drop("run")
+
+
+@check(
+    """
+    WITH r AS (SELECT user_id, event_id, value, CASE WHEN event_type = 'error' THEN DATE '2024-03-01' ELSE CAST(ts AS DATE) END AS date,
+        event_type, event_type || '(' || user_id || ')' AS name FROM events WHERE event_type <> 'error' OR user_id % 2 = 0)
+    SELECT CAST(user_id AS VARCHAR) AS shares_code, date, arg_min(name, user_id % 2 * 1000000000 + event_id) AS shares_name,
+      arg_max(value, user_id % 2 * 1000000000 + event_id) AS latest_price
+    FROM r GROUP BY user_id, date"""
+)
+def rejects_replayed(spark, sf_dir):
+    """Two batches with rows that lack a date. The first one's rejects are mended and replayed, twice; the second one's stay."""
+    path = scratch_path(spark, "replay")
+    day = F.when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise("")
+    name = F.concat("event_type", F.lit("("), text("user_id"), F.lit(")"))
+    places = {0: F.lit("1"), 1: text("user_id"), 2: name, 3: text("value"), 24: day}
+    events = table(spark, sf_dir, "events").withColumn("b", F.col("user_id") % 2)
+    pages = json_pages(events, F.floor(F.col("event_id") / 20), "event_id", positional(places, 25), keep=("b",))
+    body = utf8("jQuery({data: ", F.to_json("units"), ", recordsFiltered: 20})")
+    runs = [ingest(landed(pages.where(F.col("b") == b), "basic_index", body, F.col("page")), "basic_index", path, b + 1) for b in (0, 1)]
+    for _ in range(2):
+        replay_rejects(runs[0], mend=lambda rows: rows.withColumn("date", F.coalesce("date", F.lit("2024-03-01").cast("date"))))
+    return runs[0].table().select("shares_code", "date", "shares_name", "latest_price")

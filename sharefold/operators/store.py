@@ -33,11 +33,15 @@ def stored_projection(items: DataFrame, spec: FeedSpec, keep: Iterable[str] = ()
     """A feed's item rows under the names and types of its stored table, with the table's partition column; fields
     that are not stored go."""
     columns = [_stored(s.how, F.col(s.item)).alias(s.name) for s in spec.stored]
-    out = items.select(*columns, *keep)
+    return with_partition(items.select(*columns, *keep), spec)
+
+
+def with_partition(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Stored rows with their table's partition column, made anew from the key."""
     if spec.timeline:
         width = F.lit(ID_RANGE_WIDTH)
-        return out.withColumn("id_range", F.floor(F.col(spec.key[0]) / width).cast("bigint"))
-    return out if spec.by_day else out.withColumn("month", F.trunc(F.col(spec.key[-1]), "month"))
+        return rows.withColumn("id_range", F.floor(F.col(spec.key[0]) / width).cast("bigint"))
+    return rows if spec.by_day else rows.withColumn("month", F.trunc(F.col(spec.key[-1]), "month"))
 
 
 def key_rules(spec: FeedSpec) -> dict[str, Column]:

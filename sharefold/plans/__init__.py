@@ -1,5 +1,5 @@
 """Whole runs: from landed responses to current tables."""
 
-from sharefold.plans.ingest import FeedRun, ingest, ingest_all, ingest_crawls, run_metrics, stage_feed
+from sharefold.plans.ingest import FeedRun, ingest, ingest_all, ingest_crawls, replay_rejects, run_metrics, stage_feed
 
-__all__ = ["FeedRun", "ingest", "ingest_all", "ingest_crawls", "run_metrics", "stage_feed"]
+__all__ = ["FeedRun", "ingest", "ingest_all", "ingest_crawls", "replay_rejects", "run_metrics", "stage_feed"]

@@ -7,7 +7,7 @@ needs, so bodies are decoded once and a lost executor never causes a second pars
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,11 +21,14 @@ from sharefold.operators import incremental as inc
 from sharefold.operators.merge import FIRST, LAST, with_arrival
 from sharefold.operators.parse import BAD_SHAPE, OK, REFETCH, parse_feed
 from sharefold.operators.shares import enrich_share, high_water, require_shares, share_universe, with_cutoff
-from sharefold.operators.store import key_rules, stored_projection, with_reasons
+from sharefold.operators.store import key_rules, stored_projection, with_partition, with_reasons
 from sharefold.sinks.tables import merge_feed, pin, read_if_there, read_stored
 
 ARRIVAL = ("batch", "run", "fetched_at", "page_no", "unit_pos")
 
+# What tells a reject from all others, whatever a replay mends in it.
+REPLAYED = (*ARRIVAL, "row_id")
+
 
 @dataclass(frozen=True)
 class FeedRun:
@@ -92,10 +95,15 @@ class FeedRun:
         spec = self.spec
         numbers = {"batch": F.lit(self.batch).cast("bigint"), "run": F.lit(self.run).cast("bigint")}
         units = self.units(rows).withColumns(numbers)
-        rules, keep = key_rules(spec), ("url", *ARRIVAL)
-        if spec.per_share:
-            rules, keep = {"share unknown": F.col("share_known"), **rules}, (*keep, "share_known")
-        return with_reasons(stored_projection(units, spec, keep=keep), rules)
+        keep = ("url", *ARRIVAL, "share_known") if spec.per_share else ("url", *ARRIVAL)
+        rows = stored_projection(units, spec, keep=keep)
+        # Pages of several shares can arrive alike, so what a unit says tells it from others of its arrival.
+        return with_reasons(rows.withColumn("row_id", F.xxhash64("url", *spec.columns)), self.rules())
+
+    def rules(self) -> dict[str, Column]:
+        """What a unit must fulfil to be stored."""
+        known = {"share unknown": F.col("share_known")} if self.spec.per_share else {}
+        return {**known, **key_rules(self.spec)}
 
     @property
     def judged_path(self) -> str:
@@ -106,9 +114,21 @@ class FeedRun:
         return self.spark.read.parquet(self.judged_path)
 
     def rejects(self) -> DataFrame:
-        """Units that could not be stored, with the reason."""
+        """Units that could not be stored, with the reason. They stay on record for ``replay_rejects``."""
         return self.judged().where(F.col("reject_reason") != "")
 
+    @property
+    def replayed_path(self) -> str:
+        return f"{self.root}/_replayed/{self.spec.name}/run={self.run}/batch={self.batch}"
+
+    def open_rejects(self) -> DataFrame:
+        """The rejects that no replay has stored."""
+        rejects, done = self.rejects(), read_if_there(self.spark, self.replayed_path)
+        if done is None:
+            return rejects
+        mine = done.select(*[F.col(c).alias(f"_done_{c}") for c in REPLAYED])
+        return rejects.join(mine, [F.col(c).eqNullSafe(F.col(f"_done_{c}")) for c in REPLAYED], "left_anti")
+
     def metrics(self) -> DataFrame:
         """What this batch read and changed, one row; see ``run_metrics``."""
         return self.spark.read.schema(METRICS_SCHEMA).parquet(_metrics_path(self))
@@ -266,16 +286,53 @@ def ingest(
     seen, sound = Observation(), F.col("reject_reason") == ""
     judged = run.judge(rows).observe(seen, _total(sound).alias("accepted"), _total(~sound).alias("rejects"))
     judged = pin(judged, run.judged_path)
-    partition = [spec.partition] if spec.partition not in spec.columns else []
-    incoming = with_arrival(judged.where(sound), ARRIVAL).select(*spec.columns, *partition, FIRST, LAST)
-    first, last = ((F.col(f"{seq}.batch") == batch) & (F.col(f"{seq}.run") == run.run) for seq in (FIRST, LAST))
-    watch = {"rows_new": _total(first), "rows_changed": _total(last & ~first)}
-    changed = merge_feed(incoming, run.table_path, spec, extra_keys, only_changes, watch)
+    changed = _store(run, judged.where(sound), extra_keys, only_changes)
     counts = {**counted, **seen.get, **changed}
     pin(run.spark.range(1).select(*[F.lit(counts[n]).cast("bigint").alias(n) for n in METRICS]), _metrics_path(run))
     return run
 
 
+def _store(run: FeedRun, good: DataFrame, extra_keys: tuple[str, ...], only_changes: bool = False) -> dict[str, int]:
+    """Merges units that keep all rules, under the arrival they carry, and tells how many rows that changed."""
+    spec = run.spec
+    partition = [spec.partition] if spec.partition not in spec.columns else []
+    incoming = with_arrival(good, ARRIVAL).select(*spec.columns, *partition, FIRST, LAST)
+    first, last = ((F.col(f"{seq}.batch") == run.batch) & (F.col(f"{seq}.run") == run.run) for seq in (FIRST, LAST))
+    return merge_feed(incoming, run.table_path, spec, extra_keys, only_changes, {"rows_new": _total(first), "rows_changed": _total(last & ~first)})
+
+
+def replay_rejects(
+    run: FeedRun,
+    mend: Callable[[DataFrame], DataFrame] | None = None,
+    universe: DataFrame | None = None,
+    extra_keys: tuple[str, ...] = (),
+) -> dict[str, int]:
+    """Stores those rejects of a batch that keep the rules by now, and tells how many are ``replayed`` and ``left``.
+
+    ``universe`` makes shares known that were not; ``mend`` takes the rejects and gives them back with values put right, all
+    columns of ``rejects`` among them. A row keeps the arrival of the page it came on: it never overwrites what came later,
+    and a replay that is repeated, or dies and runs again, has no further effect. The record of what was replayed is
+    written after the rows, so a crash between the two only means that they are merged once more.
+    """
+    spec, rows = run.spec, run.open_rejects()
+    if universe is not None and spec.per_share:
+        names = universe.select(F.col("shares_code").cast("string").alias("shares_code"), F.col("shares_name").alias("_name"))
+        names = names.groupBy("shares_code").agg(F.min("_name").alias("_name"), F.lit(True).alias("_known"))
+        rows = enrich_share(rows, pin(names, f"{run.replayed_path}-shares"), "shares_code", how="left")
+        known = F.coalesce("share_known", F.lit(False)) | F.coalesce("_known", F.lit(False))
+        rows = rows.withColumns({"share_known": known, "shares_name": F.coalesce("shares_name", "_name")}).drop("_name", "_known")
+    if mend is not None:
+        rows = mend(rows)
+    seen, sound = Observation(), F.col("reject_reason") == ""
+    judged = with_reasons(with_partition(rows.drop("reject_reason"), spec), run.rules())
+    judged = pin(judged.observe(seen, _total(sound).alias("replayed"), _total(~sound).alias("left")), f"{run.replayed_path}-judged")
+    counts = seen.get
+    if counts["replayed"]:
+        _store(run, judged.where(sound), extra_keys)
+        judged.where(sound).select(*REPLAYED).write.mode("append").parquet(run.replayed_path)
+    return counts
+
+
 def ingest_crawls(
     landing: DataFrame, feed_name: str, root: str, batch: int, universe: DataFrame | None = None, **options: object
 ) -> dict[int, FeedRun]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sharefold.operators import incremental as inc
 from sharefold.operators.merge import with_arrival
-from sharefold.plans import ingest, ingest_crawls, run_metrics
+from sharefold.plans import ingest, ingest_crawls, replay_rejects, run_metrics
 from sharefold.sinks import merge_into_table, pin, read_stored
 from sharefold.sinks.tables import stored_in, touched_partitions
 from sharefold.sources import stream_landing
@@ -152,3 +152,16 @@ def test_only_touched_partitions_are_read(spark, tmp_path):
     assert sorted(n for n in scanned_partitions(with_null) if n) == [1, 1] and with_null.count() == 6
     after = merge(4, months[0], None)
     assert len(after) == 39 and after["c1", None] == after["c2", months[0]] == 4 and after["c1", months[5]] == 1
+
+
+def test_rejects_are_replayed_once_their_share_is_known(spark, pages, universe, tmp_path):
+    first = ingest(pages((1, "999999", 1, (480, 479)), (1, "888888", 1, (300,))), "announcement", str(tmp_path), 1, universe)
+    ingest(pages((2, "600001", 1, (480,))).withColumn("body", F.lit(body(480).replace('"d"', '"newer"').encode())), "announcement", str(tmp_path), 2, universe)
+    wider = spark.createDataFrame([("999999", "1", "New")], "shares_code string, shares_type string, shares_name string")
+    assert replay_rejects(first) == {"replayed": 0, "left": 3}
+    assert replay_rejects(first, universe=wider) == {"replayed": 2, "left": 1}
+    assert replay_rejects(first, universe=wider) == {"replayed": 0, "left": 1}
+    rows = {r.announce_id: r for r in first.table().collect()}
+    # What came later stays the newest, and the first name is that of the row that came first.
+    assert sorted(rows) == [479, 480] and rows[479].shares_name == "New" and rows[480].announce_title == "newer"
+    assert [r.shares_code for r in first.open_rejects().collect()] == ["888888"] and first.rejects().count() == 3
