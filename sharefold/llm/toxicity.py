@@ -73,9 +73,10 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     """_key, _text, _toxic (0 or 1) and ``more`` of documents with a label. Labels that repeat a key are one: the largest."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
     known = known.agg(F.max(F.col(label)).cast("int").alias("_toxic"))
-    # Texts without a label are many; a filter of fixed size keeps nearly all of them out of the shuffle.
+    # Texts without a label are many; a filter of fixed size keeps nearly all of them out of the shuffle. Labels grow with
+    # the corpus, so they are merged at every size and never broadcast.
     listed = HashFilter(known.select(F.xxhash64(F.col("_key")).alias("hash")), "hash")
-    return docs.where(listed.likely(F.xxhash64(F.col(key)))).select(F.col(key).alias("_key"), F.col(text).alias("_text"), *more).join(known, "_key")
+    return docs.where(listed.likely(F.xxhash64(F.col(key)))).select(F.col(key).alias("_key"), F.col(text).alias("_text"), *more).join(known.hint("merge"), "_key")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
