@@ -14,7 +14,7 @@ from sharefold.llm import secrets
 from sharefold.llm.bpe import share_tokenizer
 from sharefold.llm.chat import format_turns, read_piece, unescape
 from sharefold.llm.common import with_settled
-from sharefold.llm.contamination import MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
+from sharefold.llm.contamination import LEAST_WORDS, MASKS, MIN_SHARE, MIN_WORDS, SPAN, overlaps
 from sharefold.llm.hard_negatives import mine_hard_negatives
 from sharefold.llm.jaccard import jaccard_components
 from sharefold.llm.language import fit_language_model, identify_languages
@@ -144,12 +144,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contamination_sql() -> str:
     """The same overlaps over the words themselves, a mask at a time."""
     joins = " UNION ALL ".join(
-        f"SELECT d.doc_id, d.w AS dw, d.p AS dp, i.item_id, i.w AS iw, i.p AS ip FROM dp d JOIN ip i ON "
+        f"SELECT d.doc_id, d.w AS dw, d.p AS dp, i.item_id, i.w AS iw, i.p AS ip, {SPAN} AS span FROM dp d JOIN ip i ON "
         + " AND ".join(f"d.w[d.p + {o}] = i.w[i.p + {o}]" for o in mask)
         for mask in MASKS
     )
     share = ", ".join(
-        f"CASE WHEN {s} <= least({MIN_WORDS}, len(iw)) - {SPAN} THEN list_sum(list_transform(range(0, least({MIN_WORDS}, len(iw))), "
+        f"CASE WHEN {s} <= least({MIN_WORDS}, len(iw)) - span THEN list_sum(list_transform(range(0, least({MIN_WORDS}, len(iw))), "
         f"lambda k: CASE WHEN dp - {s} + k > 0 AND ip - {s} + k > 0 AND dw[dp - {s} + k] = iw[ip - {s} + k] THEN 1 ELSE 0 END)) ELSE 0 END"
         for s in range(MIN_WORDS - SPAN + 1)
     )
@@ -158,10 +158,13 @@ def contamination_sql() -> str:
 WITH d AS (SELECT doc_id, {words} AS w FROM documents), i AS (SELECT item_id, {words} AS w FROM benchmark),
 dp AS (SELECT doc_id, w, unnest(range(1, len(w) - {SPAN - 2})) AS p FROM d),
 ip AS (SELECT item_id, w, unnest(range(1, len(w) - {SPAN - 2})) AS p FROM i),
-hits AS ({joins}),
-judged AS (SELECT doc_id, item_id, dp, greatest({share}) / least({MIN_WORDS}, len(iw))::DOUBLE AS share FROM hits)
+sp AS (SELECT doc_id, w, unnest(range(1, len(w) - {LEAST_WORDS - 2})) AS p FROM d),
+si AS (SELECT item_id, w FROM i WHERE len(w) >= {LEAST_WORDS} AND len(w) < {SPAN}),
+hits AS ({joins} UNION ALL
+  SELECT doc_id, sp.w, sp.p, item_id, si.w, 1, len(si.w) FROM sp JOIN si ON sp.w[sp.p] = si.w[1] AND sp.w[sp.p:sp.p + len(si.w) - 1] = si.w),
+judged AS (SELECT doc_id, item_id, dp, span, greatest({share}) / least({MIN_WORDS}, len(iw))::DOUBLE AS share FROM hits)
 SELECT doc_id, item_id, count(*)::BIGINT AS n_seeds, max(share) AS similarity, (min(dp) - 1)::BIGINT AS first_word,
-  (max(dp) + {SPAN - 2})::BIGINT AS last_word FROM judged WHERE share >= {MIN_SHARE} GROUP BY doc_id, item_id"""
+  (max(dp + span) - 2)::BIGINT AS last_word FROM judged WHERE share >= {MIN_SHARE} GROUP BY doc_id, item_id"""
 
 
 @query(contamination_sql())

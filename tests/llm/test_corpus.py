@@ -93,6 +93,29 @@ def test_lines_of_odd_rows(spark):
     assert dedup_lines(empty(spark)).count() == 0
 
 
+def test_every_placing_of_two_substitutions_is_found(spark):
+    """A passage of 13 words of an item, in other surroundings, with two of its words replaced in every way."""
+    item = prose(21, 40).split()
+    rows = []
+    for a in range(13):
+        for b in range(a + 1, 13):
+            part = [w if k not in (a, b) else f"other{k}" for k, w in enumerate(item[11:24])]
+            rows.append((len(rows), f"{prose(22, 20)} {' '.join(part)} {prose(23, 20)}", "en", "h"))
+    clean = [(1000 + i, prose(500 + i, 60), "en", "h") for i in range(20)]
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in overlaps(documents(spark, rows + clean), items).collect()} == set(range(78))
+
+
+def test_short_items_are_found_word_for_word(spark):
+    sizes = range(1, 13)
+    items = spark.createDataFrame([(n, prose(30 + n, n)) for n in sizes], "item_id long, text string")
+    rows = [(n, f"{prose(50, 9)} {prose(30 + n, n).upper()} {prose(51, 9)}", "en", "h") for n in sizes]
+    rows += [(100 + n, f"{prose(50, 9)} {' '.join(prose(30 + n, n).split()[:-1])} {prose(51, 9)}", "en", "h") for n in range(2, 8)]
+    found = {(r.doc_id, r.item_id): r for r in overlaps(documents(spark, rows), items).collect()}
+    assert set(found) == {(n, n) for n in range(5, 13)}
+    assert all((r.similarity, r.first_word, r.last_word) == (1.0, 9, 8 + n) for (n, _), r in found.items())
+
+
 def test_overlaps_tolerate_substitutions(spark):
     item = prose(11, 30).split()
     changed = [w if k not in (6, 17) else "other" for k, w in enumerate(item)]
