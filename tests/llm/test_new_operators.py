@@ -10,6 +10,7 @@ from fixtures import LONG, documents, empty, prose
 
 from pyspark.sql import functions as F
 
+from sharefold.llm import secrets
 from sharefold.llm.hard_negatives import Packing, mine_hard_negatives
 from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.periodic import detect_runs, frequent_segments, kept_words, periodic_runs, word_numbers
@@ -232,3 +233,57 @@ def test_a_long_text_full_of_license_phrases(spark):
     assert (found[2].n_base, found[2].first_word, found[2].base_labels) == (1, 20_000, "apache")
     assert (found[3].n_base, found[3].first_word, found[3].labels) == (0, None, "")
     assert (found[4].n_base, found[4].base_labels, found[4].score) == (2, "mit", 1.0)
+
+
+# Secret scans: what the network adds
+
+
+def secret_texts(n=500):
+    draw = random.Random(2)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = lambda k: "".join(draw.choice(signs) for _ in range(k))
+    long_word = lambda: "".join(draw.choice(["stein", "berg", "haus", "wald", "bach", "land"]) for _ in range(4))
+    rows, planted = [], {}
+    for i in range(n):
+        words = [*prose(i, 25).split(), long_word(), long_word()]
+        draw.shuffle(words)
+        if i % 5 == 0:
+            secret = token(32)
+            words.insert(9, secret)  # no pattern takes it: nothing names it
+            planted[i] = secret
+        else:
+            words.insert(9, f"api_key={token(32)}")
+        rows.append((i, " ".join(words)))
+    return rows, planted
+
+
+def test_the_network_adds_secrets_that_no_pattern_takes(spark):
+    rows, planted = secret_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fit_secret_net(docs)
+    assert model.quality.recall >= 0.9 and model.quality.precision >= 0.9 and min(model.quality.findings, model.quality.others) > 50
+    texts = dict(rows)
+    added = {i: set() for i in texts}
+    for r in docs.select("doc_id", secrets.secrets_column(model).alias("found")).collect():
+        assert sum(s.kind_no == 1 for s in r.found) == (r.doc_id not in planted)
+        added[r.doc_id] = {texts[r.doc_id][s.start : s.stop] for s in r.found if s.kind_no == 4}
+        assert all(0 <= s.score <= 1 for s in r.found)
+    right = sum(planted[i] in added[i] for i in planted)
+    wrong = sum(len(a - {planted.get(i)}) for i, a in added.items())
+    assert right >= 0.9 * len(planted) and wrong <= 0.1 * right
+
+
+def test_odds_are_calibrated():
+    draw = np.random.default_rng(4)
+    odds = draw.normal(0, 4, 4000)
+    truth = (draw.random(4000) < 1 / (1 + np.exp(-(0.5 * odds - 1)))).astype(int)
+    slope, offset = secrets.platt(odds, truth)
+    assert abs(slope - 0.5) < 0.05 and abs(offset + 1) < 0.15
+    far = np.array([-40.0] * 30 + [40.0] * 30)
+    assert secrets.platt(far, (far > 0).astype(int))[0] > 0
+
+
+def test_secrets_of_odd_rows(spark):
+    assert secrets.fit_secret_net(empty(spark)) is None
+    rows = documents(spark).select("doc_id", secrets.secrets_column(None).alias("found")).collect()
+    assert len(rows) == 11 and all(r.found == [] for r in rows)
