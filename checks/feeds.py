@@ -80,7 +80,11 @@ def feed_basic_index(spark, sf_dir):
       SELECT o_custkey, o_orderkey, 0 AS pos, CAST(o_orderdate AS DATE) AS d, o_totalprice AS p FROM orders
       UNION ALL SELECT o_custkey, o_orderkey, 1, CAST(o_orderdate AS DATE) - 1, o_totalprice + 1 FROM orders)
     SELECT CAST(o_custkey AS VARCHAR) AS shares_code, d AS date, any_value(c_name) AS shares_name,
-      arg_max(p, o_orderkey * 2 + pos) AS main_influx_price, max(o_orderkey * 2 + pos) // 2 + 9.0::DOUBLE AS small_influx_ratio
+      arg_max(p, o_orderkey * 2 + pos) AS main_influx_price, max(o_orderkey * 2 + pos) // 2 + 1.0::DOUBLE AS main_influx_ratio,
+      max(o_orderkey * 2 + pos) // 2 + 2.0::DOUBLE AS huge_influx_price, max(o_orderkey * 2 + pos) // 2 + 3.0::DOUBLE AS huge_influx_ratio,
+      max(o_orderkey * 2 + pos) // 2 + 4.0::DOUBLE AS large_influx_price, max(o_orderkey * 2 + pos) // 2 + 5.0::DOUBLE AS large_influx_ratio,
+      max(o_orderkey * 2 + pos) // 2 + 6.0::DOUBLE AS middle_influx_price, max(o_orderkey * 2 + pos) // 2 + 7.0::DOUBLE AS middle_influx_ratio,
+      max(o_orderkey * 2 + pos) // 2 + 8.0::DOUBLE AS small_influx_price, max(o_orderkey * 2 + pos) // 2 + 9.0::DOUBLE AS small_influx_ratio
     FROM r JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey, d"""
 )
 def feed_main_influx(spark, sf_dir):
@@ -96,8 +100,7 @@ def feed_main_influx(spark, sf_dir):
     body = utf8("var aff_data={data:", text_array(F.array(F.array(today, before), F.array(F.lit("no"), F.lit("no")))), "}")
     landing = landed(orders, "main_influx", body, F.col("o_orderkey"), share=F.col("o_custkey"))
     path = scratch_path(spark, "influx")
-    run = ingest(landing, "main_influx", path, 1, universe=customers(spark, sf_dir))
-    return run.table().select("shares_code", "date", "shares_name", "main_influx_price", "small_influx_ratio")
+    return ingest(landing, "main_influx", path, 1, universe=customers(spark, sf_dir)).table()
 
 
 def notice_run(spark, sf_dir):
@@ -127,11 +130,11 @@ def notice_run(spark, sf_dir):
     SELECT CAST(p_partkey AS VARCHAR) AS shares_code, p_name AS shares_name, p_type AS performance_change,
       p_brand AS expected_net_profit_left, '' AS expected_net_profit_right,
       CASE n WHEN 0 THEN p_size || '%' WHEN 1 THEN p_size + 1 || '%' ELSE '' END AS performance_change_ratio_left,
-      'why' AS performance_change_reason, DATE '2018-08-10' + CAST(n AS INT) AS announcement_date
+      '' AS performance_change_ratio_right, 'k' AS preview_type, '9' AS previous_year_profit, 'why' AS performance_change_reason, DATE '2018-08-10' + CAST(n AS INT) AS announcement_date
     FROM part, (SELECT unnest(generate_series(0, 2)) AS n) WHERE p_size % 4 <> 0"""
 )
 def feed_financial_notice(spark, sf_dir):
-    return notice_run(spark, sf_dir).table().drop("preview_type", "previous_year_profit", "performance_change_ratio_right")
+    return notice_run(spark, sf_dir).table()
 
 
 def to_gbk(texts):
@@ -150,7 +153,9 @@ def to_gbk(texts):
       arg_min('股份' || o_orderstatus, o_orderkey) AS shares_name, arg_max('股东' || o_orderkey, o_orderkey) AS shareholders_name,
       CASE arg_max(o_orderstatus, o_orderkey) WHEN 'F' THEN '减持' ELSE '增持' END AS change_type,
       arg_max(o_totalprice, o_orderkey) AS change_share, max(o_orderkey)::DOUBLE AS change_equity_ratio,
-      CAST(o_orderdate AS DATE) - 1 AS begin_date
+      max(o_orderkey)::DOUBLE + 7 AS change_share_ratio, max(o_orderkey)::DOUBLE + 9 AS total_hold,
+      max(o_orderkey)::DOUBLE + 10 AS total_equity_ratio, max(o_orderkey)::DOUBLE + 11 AS total_share,
+      max(o_orderkey)::DOUBLE + 12 AS total_share_ratio, CAST(o_orderdate AS DATE) - 1 AS begin_date, CAST(o_orderdate AS DATE) + 2 AS end_date
     FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)"""
 )
 def feed_shareholder_change(spark, sf_dir):
@@ -161,7 +166,9 @@ def feed_shareholder_change(spark, sf_dir):
         4: F.concat(F.lit("股东"), text("o_orderkey")),
         5: F.when(F.col("o_orderstatus") == "F", "减持").otherwise("增持"),
         6: text("o_totalprice"),
+        **{place: (F.col("o_orderkey") + place).cast("string") for place in (7, 9, 10, 11, 12)},
         13: F.date_sub(day, 1).cast("string"),
+        14: F.date_add(day, 2).cast("string"),
         15: day.cast("string"),
         16: text("o_orderkey"),
     }
@@ -169,11 +176,12 @@ def feed_shareholder_change(spark, sf_dir):
     pages = json_pages(table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 20), "o_orderkey", unit)
     body = to_gbk(F.concat(F.lit("var x={data:"), text_array("units"), F.lit(",pages:9}")))
     landing = landed(pages, "shareholder_change", body, F.col("page"))
-    run = ingest(landing, "shareholder_change", scratch_path(spark, "holder"), 1)
-    return run.table().select(
-        "shares_code", "announcement_date", "shares_name", "shareholders_name", "change_type", "change_share",
-        "change_equity_ratio", "begin_date",
-    )
+    return ingest(landing, "shareholder_change", scratch_path(spark, "holder"), 1).table()
+
+
+def numbered(base, *keys):
+    """Fields with different numbers, so that no two of them can be taken for each other."""
+    return [(F.col(base) + i).alias(key) for i, key in enumerate(keys, 1)]
 
 
 def object_pages(units, page, order, unit):
@@ -187,6 +195,11 @@ def object_pages(units, page, order, unit):
       arg_min(o_orderpriority, o_orderkey) AS shares_name, arg_max(o_totalprice, o_orderkey) AS close_price,
       CASE WHEN arg_max(o_orderstatus, o_orderkey) = 'P' THEN DATE '1970-01-01'
         ELSE CAST(o_orderdate + INTERVAL 8 HOUR AS DATE) END AS begin_date,
+      max(o_orderkey) + 1.0::DOUBLE AS buyback_price_range_left, max(o_orderkey) + 2.0::DOUBLE AS buyback_price_range_right,
+      max(o_orderkey) + 3.0::DOUBLE AS buyback_volumn_range_left, max(o_orderkey) + 4.0::DOUBLE AS buyback_volumn_range_right,
+      max(o_orderkey) + 5.0::DOUBLE AS share_ratio_left, max(o_orderkey) + 6.0::DOUBLE AS share_ratio_right,
+      max(o_orderkey) + 7.0::DOUBLE AS equity_ratio_left, max(o_orderkey) + 8.0::DOUBLE AS equity_ratio_right,
+      max(o_orderkey) + 9.0::DOUBLE AS buyback_amount_range_left, max(o_orderkey) + 10.0::DOUBLE AS buyback_amount_range_right,
       CASE arg_max(o_orderstatus, o_orderkey) WHEN 'F' THEN '完成实施' WHEN 'O' THEN '实施中' ELSE '未定义' END AS impl_progress
     FROM orders GROUP BY o_custkey, o_orderdate"""
 )
@@ -197,16 +210,17 @@ def feed_share_buyback(spark, sf_dir):
         F.col("o_orderpriority").alias("securityshortname"),
         F.col("o_totalprice").alias("cprice"),
         F.when(status == "F", "006").when(status == "O", "004").otherwise("777").alias("repurprogress"),
+        *numbered(
+            "o_orderkey", "repurpricelower", "repurpricecap", "repurnumlower", "repurnumcap", "ltszxx", "ltszsx", "zszxx", "zszsx",
+            "repuramountlower", "repuramountlimit",
+        ),
         F.when(status != "P", day).alias("repurstartdate"),
         day.alias("dim_tradedate"),
     )
     orders = table(spark, sf_dir, "orders")
     pages, body = object_pages(orders, F.floor(F.col("o_orderkey") / 20), "o_orderkey", unit)
     landing = landed(pages, "share_buyback", body, F.col("page"))
-    run = ingest(landing, "share_buyback", scratch_path(spark, "buyback"), 1)
-    return run.table().select(
-        "shares_code", "announcement_date", "shares_name", "close_price", "begin_date", "impl_progress"
-    )
+    return ingest(landing, "share_buyback", scratch_path(spark, "buyback"), 1).table()
 
 
 @check(
@@ -215,7 +229,10 @@ def feed_share_buyback(spark, sf_dir):
         CAST(l_suppkey AS VARCHAR) DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC) AS rn FROM lineitem)
     SELECT CAST(l_partkey AS VARCHAR) AS shares_code, CAST(l_shipdate + INTERVAL 8 HOUR AS DATE) AS update_date,
       'part ' || l_partkey AS shares_name, CAST(l_suppkey AS VARCHAR) AS shareholders_name, CAST(l_quantity AS BIGINT) AS pledge_number,
-      l_extendedprice AS pledge_volumn, round(l_discount * 100, 6) AS share_ratio
+      l_extendedprice AS pledge_volumn, round(l_discount * 100, 6) AS share_ratio, l_orderkey + 1.0::DOUBLE AS pledge_price,
+      l_orderkey + 2.0::DOUBLE AS equity_datio, l_orderkey + 3.0::DOUBLE AS close_position_range_left,
+      l_orderkey + 4.0::DOUBLE AS close_position_range_right, l_orderkey + 5.0::DOUBLE AS warning_position_range_left,
+      l_orderkey + 6.0::DOUBLE AS warning_position_range_right
     FROM r WHERE rn = 1"""
 )
 def feed_share_pledge(spark, sf_dir):
@@ -227,16 +244,14 @@ def feed_share_pledge(spark, sf_dir):
         F.col("l_quantity").cast("bigint").alias("new_zy_count"),
         F.col("l_extendedprice").alias("amtsharefrozen"),
         F.col("l_discount").alias("zb"),
+        *numbered("l_orderkey", "sz", "zzb", "pcx_minvalue", "pcx_maxvalue", "yjx_minvalue", "yjx_maxvalue"),
         epoch_ms("l_shipdate").alias("updatedate"),
     )
     body = utf8("var x=", "{pages: 9, data: [", F.to_json(unit), "]}")
     lines = wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     landing = landed(lines, "share_pledge", body, F.col("l_orderkey"), page_no=F.col("l_linenumber"))
     run = ingest(landing, "share_pledge", scratch_path(spark, "pledge"), 1)
-    return run.table().select(
-        "shares_code", "update_date", "shares_name", "shareholders_name", "pledge_number", "pledge_volumn",
-        F.round("share_ratio", 6).alias("share_ratio"),
-    )
+    return run.table().withColumn("share_ratio", F.round("share_ratio", 6))
 
 
 @check(
@@ -245,7 +260,10 @@ def feed_share_pledge(spark, sf_dir):
       arg_min(o_orderpriority, o_orderkey) AS shares_name, max(o_orderkey) AS shareholders_num,
       round(arg_max(o_totalprice / 1e9 * CASE WHEN o_totalprice / 1e9 >= 1e-4 THEN 100 ELSE 1 END, o_orderkey), 12) AS equity_ratio,
       CASE WHEN arg_max(o_orderstatus, o_orderkey) = 'P' THEN arg_max(o_custkey, o_orderkey)::DOUBLE
-        ELSE round(arg_max(o_totalprice, o_orderkey) * 100, 6) END AS share_ratio
+        ELSE round(arg_max(o_totalprice, o_orderkey) * 100, 6) END AS share_ratio,
+      max(o_orderkey) + 1.0::DOUBLE AS share_num, max(o_orderkey) + 2.0::DOUBLE AS real_share_num, max(o_orderkey) + 3.0::DOUBLE AS non_share_num,
+      max(o_orderkey) + 4.0::DOUBLE AS real_share_price, max(o_orderkey) + 5.0::DOUBLE AS close_price,
+      'type ' || max(o_orderkey) AS share_type, max(o_orderkey) + 6.0::DOUBLE AS before_range, max(o_orderkey) + 7.0::DOUBLE AS after_range
     FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)"""
 )
 def feed_restricted_release(spark, sf_dir):
@@ -255,7 +273,10 @@ def feed_restricted_release(spark, sf_dir):
     parts = [
         '{gpdm: "', text("o_custkey"), '", sname: "', F.col("o_orderpriority"),
         '", ltsj: "', F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), '", gpcjjgds: ', text("o_orderkey"),
-        ", zzb: ", (F.col("o_totalprice") / F.lit(1e9)).cast("string"), ", zb: ", share, "}",
+        ", zzb: ", (F.col("o_totalprice") / F.lit(1e9)).cast("string"), ", zb: ", share, ', xsglx: "type ', text("o_orderkey"), '"',
+        *[part for i, key in enumerate(("jjsl", "kjjsl", "wltsl", "jjsz", "newPrice", "jjqesrzdf", "jjhesrzdf"), 1)
+          for part in (f", {key}: ", (F.col("o_orderkey") + i).cast("string"))],
+        "}",
     ]
     unit = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     orders = table(spark, sf_dir, "orders")
@@ -263,10 +284,7 @@ def feed_restricted_release(spark, sf_dir):
     body = utf8("var x=", "{pages: 9, data: [", F.concat_ws(",", "units"), "]}")
     landing = landed(pages, "restricted_release", body, F.col("page"))
     run = ingest(landing, "restricted_release", scratch_path(spark, "restricted"), 1)
-    return run.table().select(
-        "shares_code", "circulation_date", "shares_name", "shareholders_num",
-        F.round("equity_ratio", 12).alias("equity_ratio"), F.round("share_ratio", 6).alias("share_ratio"),
-    )
+    return run.table().withColumns({"equity_ratio": F.round("equity_ratio", 12), "share_ratio": F.round("share_ratio", 6)})
 
 
 BLOCK = 200  # ids of one page are taken from a block of this many
