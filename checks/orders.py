@@ -10,6 +10,7 @@ from sharefold.feeds import BASIC_INDEX, Field
 from sharefold.functions import code_label, date_head, exchange_symbol, scale_ratio, share_id, to_bigint
 from sharefold.operators.merge import latest_by_key
 from sharefold.operators.parse import explode_units, lenient_json, nonempty_pages, project_positional
+from sharefold.operators.paging import indexed_page, write_page_index
 from sharefold.operators.planning import page_query
 from sharefold.operators.shares import enrich_share, with_cutoff
 from sharefold.operators.store import retain, stored_projection, union_pages
@@ -207,6 +208,21 @@ def page_query_query(spark, sf_dir):
     return page_query(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")], page=2, size=300)
 
 
+@check(
+    "(SELECT o_orderkey, o_totalprice, 'middle' AS page FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 45 OFFSET 675) UNION ALL "
+    "(SELECT o_orderkey, o_totalprice, 'last' FROM orders ORDER BY o_totalprice DESC, o_orderkey "
+    "LIMIT 45 OFFSET (SELECT (count(*) - 1) // 45 * 45 FROM orders))"
+)
+def page_deep(spark, sf_dir):
+    """Numbered pages from a range index: one in the middle and the last one."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path, order = scratch_path(spark, "pages"), [F.desc("o_totalprice"), F.asc("o_orderkey")]
+    write_page_index(orders, order, path, ranges=16)
+    middle = indexed_page(spark, path, order, 16, 45).withColumn("page", F.lit("middle"))
+    last = indexed_page(spark, path, order, -(-orders.count() // 45), 45).withColumn("page", F.lit("last"))
+    return middle.unionByName(last)
+
+
 @check(
     "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey <> 3 "
     "ORDER BY c_acctbal DESC, c_custkey LIMIT 100"

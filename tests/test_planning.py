@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from sharefold.feeds import ANNOUNCEMENT, BASIC_INDEX, FINANCIAL_NOTICE, MAIN_INFLUX, RESTRICTED_RELEASE, SHARE_PLEDGE
 from sharefold.operators import planning as pl
+from sharefold.operators.paging import indexed_page, write_page_index
+from sharefold.operators.planning import page_query
 from sharefold.operators.shares import require_shares
 
 BASE = "https://feed.example/x"
@@ -97,3 +99,22 @@ def test_page_query(spark):
         pl.page_query(df, [F.desc("id")], 0, 3)
     plan = pl.page_query(df, [F.desc("id")], 2, 3)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_indexed_pages_equal_plain_ones(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id"), (F.col("id") % 13).alias("price"))
+    rows = rows.withColumn("price", F.when(F.col("price") > 2, F.col("price")))
+    order, path = [F.desc_nulls_last("price"), F.asc("id")], str(tmp_path)
+    write_page_index(rows, order, path, ranges=7)
+    for size in (1, 9, 250, 1000, 5000):
+        for page in {1, 2, 500 // size + 1, -(-1000 // size), 2000}:
+            found = [tuple(r) for r in indexed_page(spark, path, order, page, size).collect()]
+            assert found == [tuple(r) for r in page_query(rows, order, page, size).collect()], (page, size)
+    plan = indexed_page(spark, path, order, 50, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    write_page_index(rows.where("false"), order, path)
+    assert indexed_page(spark, path, order, 1, 5).count() == 0
+    with pytest.raises(ValueError):
+        indexed_page(spark, path, order, 0, 5)
+    with pytest.raises(ValueError):
+        write_page_index(rows.withColumnRenamed("price", "_range"), order, path)
