@@ -20,7 +20,12 @@ def escape(text: Column) -> Column:
 
 def unescape(text: str) -> str:
     """The text that was escaped. Escaped backslashes are set apart first, so none is read twice."""
-    return "\\".join(part.replace("\\l", "<") for part in text.split("\\\\"))
+    return "\\".join(part.replace("\\l", "<").replace("\\g", ">") for part in text.split("\\\\"))
+
+
+def escape_role(role: Column) -> Column:
+    """A role without ``<`` and ``>`` too, since the first ``>`` ends a turn's head."""
+    return F.replace(escape(role), F.lit(">"), F.lit("\\g"))
 
 
 class PartVisitor:
@@ -67,8 +72,12 @@ def format_turns(
     A piece is ``<turn ROLE>``, a line break, the turn's parts and ``</turn>`` with a line break. Attachments become
     ``<KIND N>``, numbered within the turn, and are listed in order with reference and tokens. The loss mask covers
     the parts of assistant turns: ``loss_chars`` code points from ``loss_start`` (from 0) of the piece, none in other
-    turns. A null role is an empty one; null or no parts make an empty turn.
+    turns. A null role is an empty one; null or no parts make an empty turn. All rows and columns stay; a column
+    ``_chat`` or one that starts with ``__chat`` is refused.
     """
+    clash = [c for c in turns.columns if c == "_chat" or c.startswith("__chat")]
+    if clash:
+        raise ValueError(f"the turns have columns {clash} already")
     visitor = visitor or PartVisitor()
     parts = text_part() if parts is None else parts
     seen = F.transform(F.coalesce(parts, F.array().cast(f"array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>")), visitor.visit)
@@ -78,22 +87,22 @@ def format_turns(
     )
 
     def shown(part: Column, at: Column) -> Column:
-        number = F.size(F.filter(F.slice(F.col("_seen"), 1, at + 1), lambda q: q["kind"].isNotNull()))
+        number = F.size(F.filter(F.slice(F.col("__chat_seen"), 1, at + 1), lambda q: q["kind"].isNotNull()))
         return F.coalesce(part["body"], F.format_string("<%s %d>", part["kind"], number))
 
-    name = escape(F.coalesce(F.col(role), F.lit("")))
+    name = escape_role(F.coalesce(F.col(role), F.lit("")))
     head = F.concat(F.lit(OPEN), name, F.lit(">\n"))
     learned = F.coalesce(F.col(role), F.lit("")) == "assistant"
-    staged = turns.withColumn("_seen", seen).withColumn("_attached", listed)
-    staged = staged.withColumn("_body", F.array_join(F.transform("_seen", shown), ""))
+    staged = turns.withColumn("__chat_seen", seen).withColumn("__chat_attached", listed)
+    staged = staged.withColumn("__chat_body", F.array_join(F.transform("__chat_seen", shown), ""))
     chat = F.struct(
-        F.concat(head, F.col("_body"), F.lit(CLOSE)).alias("piece"),
+        F.concat(head, F.col("__chat_body"), F.lit(CLOSE)).alias("piece"),
         F.length(head).cast("bigint").alias("loss_start"),
-        F.when(learned, F.length("_body")).otherwise(F.lit(0)).cast("bigint").alias("loss_chars"),
-        F.col("_attached").alias("attachments"),
-        F.aggregate("_attached", F.lit(0).cast("bigint"), lambda n, p: n + p["tokens"]).alias("tokens"),
+        F.when(learned, F.length("__chat_body")).otherwise(F.lit(0)).cast("bigint").alias("loss_chars"),
+        F.col("__chat_attached").alias("attachments"),
+        F.aggregate("__chat_attached", F.lit(0).cast("bigint"), lambda n, p: n + p["tokens"]).alias("tokens"),
     )
-    return staged.withColumn("_chat", chat).drop("_seen", "_attached", "_body")
+    return staged.withColumn("_chat", chat).drop("__chat_seen", "__chat_attached", "__chat_body")
 
 
 def read_piece(piece: str) -> tuple[str, str]:

@@ -11,6 +11,7 @@ from fixtures import LONG, documents, empty, prose
 from pyspark.sql import functions as F
 
 from sharefold.llm import secrets
+from sharefold.llm.chat import PART, format_turns, read_piece, unescape
 from sharefold.llm.hard_negatives import Packing, mine_hard_negatives
 from sharefold.llm.licenses import scan_licenses
 from sharefold.llm.periodic import detect_runs, frequent_segments, kept_words, periodic_runs, word_numbers
@@ -287,3 +288,34 @@ def test_secrets_of_odd_rows(spark):
     assert secrets.fit_secret_net(empty(spark)) is None
     rows = documents(spark).select("doc_id", secrets.secrets_column(None).alias("found")).collect()
     assert len(rows) == 11 and all(r.found == [] for r in rows)
+
+
+# Chat formatting: parts of all types, odd roles and columns
+
+
+def test_typed_parts_become_placeholders(spark):
+    parts = [
+        ("text", "look: <image 1> ", None, None, None, None, None), ("image", None, "s3://a", 57, 28, None, None),
+        ("audio", "ignored", "b.wav", None, None, 2.5, None), ("text", None, None, None, None, None, None),
+        ("document", None, None, None, None, None, 3), ("image", None, "c", None, None, None, None), ("video", "a\\b", "d", 9, 9, None, None),
+    ]
+    rows = [(1, "user", parts, "b", "s"), (2, "assistant", [], "b", "s"), (3, None, None, "b", "s"), (4, "assistant", [parts[1], parts[0]], "b", "s")]
+    turns = spark.createDataFrame(rows, f"turn long, role string, parts array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>, _body string, _seen string")
+    done = format_turns(turns, F.col("parts"))
+    assert done.columns == [*turns.columns, "_chat"] and {(r._body, r._seen) for r in done.collect()} == {("b", "s")}
+    found = {r.turn: r._chat for r in done.collect()}
+    assert found[1].piece == "<turn user>\nlook: \\limage 1> <image 1><audio 2><document 3><image 4>a\\\\b</turn>\n"
+    assert [tuple(a) for a in found[1].attachments] == [(1, "image", "s3://a", 3), (2, "audio", "b.wav", 63), (3, "document", "", 1536), (4, "image", "c", 1)]
+    assert (found[1].tokens, found[1].loss_chars, found[2].piece, found[3].piece) == (1603, 0, "<turn assistant>\n</turn>\n", "<turn >\n</turn>\n")
+    start, long = found[4].loss_start, found[4].loss_chars
+    assert found[4].piece[start : start + long] == "<image 1>look: \\limage 1> "
+    with pytest.raises(ValueError):
+        format_turns(done, F.col("parts"))
+
+
+def test_any_role_and_text_are_read_back(spark):
+    odd = ["", "a>\nb", "<turn x>\n", "\\g\\l\\\\", "</turn>\n", "\\", ">\n>", "\U0001f600<"]
+    turns = spark.createDataFrame([(r, t) for r in odd for t in odd], "role string, text string")
+    for r in format_turns(turns).collect():
+        assert tuple(unescape(x) for x in read_piece(r._chat.piece)) == (r.role, r.text)
+    assert format_turns(turns.where("false")).count() == 0
