@@ -18,9 +18,9 @@ from sharefold.operators.merge import latest_by_key, upsert, with_arrival
 from sharefold.operators.parse import envelope_schema, explode_units, lenient_json, parse_envelope, project_keys
 from sharefold.operators.planning import classify_fetches, endpoint_scorecard, progress, usable_endpoints
 from sharefold.operators.shares import high_water, share_universe
-from sharefold.operators.store import ID_RANGE_WIDTH, with_reasons
+from sharefold.operators.store import with_reasons
 from sharefold.session import scratch_path
-from sharefold.sinks import merge_into_table, read_stored, write_routed
+from sharefold.sinks import merge_into_table, pin, read_stored, write_routed
 
 
 @check("SELECT user_id, arg_max(event_type, ts) AS event_type FROM events WHERE event_type IS NOT NULL GROUP BY user_id")
@@ -62,7 +62,7 @@ def upsert_merge(spark, sf_dir):
     path = scratch_path(spark, "upsert-merge")
     border = F.lit("2024-01-16").cast("date")
     for batch in (rows.where(F.col("date") >= border), rows.where(F.col("date") <= border)):
-        merge_into_table(batch, path, ("user_id", "date"), ("event_type",), "date")
+        merge_into_table(pin(batch, f"{path}/landed"), path, ("user_id", "date"), ("event_type",), "date")
     return read_stored(spark, path).select("user_id", "date", "event_type", "value")
 
 
@@ -76,18 +76,18 @@ def upsert_by_id(spark, sf_dir):
 
 
 @check(
-    f"SELECT CAST(event_id // {ID_RANGE_WIDTH} AS BIGINT) AS id_range, count(*) AS n, max(event_id) AS top "
+    "SELECT CAST(event_id * 10 // (SELECT max(event_id) + 1 FROM events) AS BIGINT) AS id_range, count(*) AS n, max(event_id) AS top "
     "FROM events GROUP BY 1"
 )
 def upsert_touched_ranges(spark, sf_dir):
-    """Ids stored in two batches, partitioned by id range; no id may be doubled or lost."""
+    """Ids stored in two batches, partitioned into ten ranges of ids; no id may be doubled or lost."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
-    width = F.lit(ID_RANGE_WIDTH)
-    events = events.withColumn("id_range", F.floor(F.col("event_id") / width).cast("bigint"))
+    top = events.agg(F.max("event_id").alias("top")).head().top
+    events = events.withColumn("id_range", F.floor(F.col("event_id") * 10 / F.lit(top + 1)).cast("bigint"))
     rows = with_arrival(events, ["ts"]).drop("ts")
     path = scratch_path(spark, "upsert-ranges")
     for batch in (rows.where(F.col("value") < 100), rows):
-        merge_into_table(batch, path, ("event_id",), ("user_id",), "id_range")
+        merge_into_table(pin(batch, f"{path}/landed"), path, ("event_id",), ("user_id",), "id_range")
     stored = read_stored(spark, path)
     return stored.groupBy(F.col("id_range").cast("bigint").alias("id_range")).agg(
         F.count("event_id").alias("n"), F.max("event_id").alias("top")

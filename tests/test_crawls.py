@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sharefold.operators import incremental as inc
 from sharefold.operators.merge import with_arrival
-from sharefold.plans import ingest, ingest_crawls, replay_rejects, run_metrics
+from sharefold.plans import forget, ingest, ingest_crawls, replay_rejects, run_metrics
 from sharefold.sinks import merge_into_table, pin, read_stored
 from sharefold.sinks.tables import stored_in, touched_partitions
 from sharefold.sources import stream_landing
@@ -165,3 +165,18 @@ def test_rejects_are_replayed_once_their_share_is_known(spark, pages, universe,
     # What came later stays the newest, and the first name is that of the row that came first.
     assert sorted(rows) == [479, 480] and rows[479].shares_name == "New" and rows[480].announce_title == "newer"
     assert [r.shares_code for r in first.open_rejects().collect()] == ["888888"] and first.rejects().count() == 3
+
+
+def test_past_batches_can_be_forgotten(spark, pages, universe, tmp_path):
+    root, options = str(tmp_path), {"mode": "newest", "as_of_ms": NOW}
+    for batch, part in enumerate((FIRST, SECOND)):
+        runs = ingest_crawls(pages(*part, (batch + 1, "999999", 1, (9,))), "announcement", root, batch, universe, **options)
+    assert forget(spark, root, "announcement", before_batch=0) == 0
+    # Parsed rows, shares and last pages of batch 0; then the crawl's marks, start and ends.
+    assert forget(spark, root, "announcement", before_batch=1) == 3
+    assert forget(spark, root, "announcement", before_batch=1, before_crawl=2, with_rejects=True) == 4
+    assert forget(spark, root, "announcement", before_batch=1, before_crawl=2, with_rejects=True) == 0
+    # What is left serves the open crawl: its late page is still cut by its own marks.
+    late = ingest_crawls(pages(*[p for p in LATE if p[0] == 2]), "announcement", root, 2, universe, **options)
+    assert ids(late[2].table()) == [i for i in KEPT if i not in (400, 475)]
+    assert runs[2].rejects().count() == 1 and run_metrics(spark, root, "announcement").count() == 3
