@@ -54,7 +54,7 @@ def test_small_share_side_is_broadcast(spark):
 
 
 def test_no_cartesian_product_or_python_in_any_plain_query(spark):
-    eager = ("feed_", "stream_", "upsert_merge", "upsert_touched", "route_", "jsonl_", "retention", "newest_", "dump_", "influx_", "mixed_", "odd_", "upsert_null")
+    eager = ("feed_", "stream_", "upsert_merge", "upsert_touched", "route_", "jsonl_", "retention", "newest_", "dump_", "influx_", "mixed_", "odd_", "upsert_null", "metrics_", "rejects_", "page_deep")
     for name in QUERIES:
         if not name.startswith(eager):
             text = plan(spark, name)
