@@ -9,17 +9,18 @@ from sharefold.session import scratch_path
 from sharefold.sinks import pin
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Of links (a, b): id and comp, the smallest id that is reachable, for every id in a link.
 
     Each round ties all larger neighbours of a node to its smallest one, then all smaller ones. Rounds are written to
-    the shared folder, which cuts lineage. Their number grows with the logarithm of a component's size.
+    the shared folder, which cuts lineage. Their number grows with the logarithm of a component's size; they end when
+    a round changes nothing.
     """
     spark = links.sparkSession
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     edges = pin(edges, scratch_path(spark, "edges"))
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -31,6 +32,4 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())

@@ -3,11 +3,13 @@
 Sets that are equal are one class. A class's rarest shingles are its entries in the index lists. In every list a pivot
 is compared with all members; what this tells about two members decides most pairs without looking at their sets
 (answers derived from those of a similar set), and members already connected need no answer. Members that meet too
-late in their prefixes are skipped by their places, and long lists are walked in blocks.
+late in their prefixes are skipped by their places. Long lists are cut in blocks by size and place, and two blocks that
+cannot hold a link are never brought together.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import chain
 
 import numpy as np
@@ -26,6 +28,11 @@ PERCENT = 85
 # Members of a list that are walked together; a longer list is cut in blocks, and pairs of blocks are walked apart.
 BLOCK = 2048
 
+# Blocks of a long list hold sets whose sizes differ by less than this factor and whose places, as shares of a set, lie
+# within this step.
+SIZE_STEP = 1.03
+PLACE_STEP = 0.03
+
 
 def survey(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One pass: for each document its set's size and digest, and from each task counts of shingles by slot, up to 255."""
@@ -75,19 +82,20 @@ def shingle_counts(surveyed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, sketch: np.ndarray, percent: int, key: str, text: str) -> DataFrame:
-    """id, n and the rarest shingles of every document, packed in one binary."""
+    """id, n, digest (d1, d2) and the rarest shingles, packed in one binary, of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    @F.arrow_udf("struct<n:bigint,prefix:binary>")
+    @F.arrow_udf("struct<n:bigint,d1:bigint,d2:bigint,prefix:binary>")
     def rarest(texts: pa.Array) -> pa.Array:
         rows = []
         for value in texts:
             members = shingle_set(value.as_py())
             head = rarest_first(members, shared.value)[: prefix_length(len(members), percent)] if len(members) else members
-            rows.append((len(members), head.astype(np.int64).tobytes()))
-        return pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["n", "prefix"])
+            rows.append((len(members), *digest(members), head.astype(np.int64).tobytes()))
+        names, types = ("n", "d1", "d2", "prefix"), (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    return docs.select(F.col(key).cast("bigint").alias("id"), rarest(F.col(text)).alias("r")).select("id", "r.n", "r.prefix")
+    return docs.select(F.col(key).cast("bigint").alias("key"), rarest(F.col(text)).alias("r")).select("key", "r.n", "r.d1", "r.d2", "r.prefix")
 
 
 def entries(packed: DataFrame) -> DataFrame:
@@ -133,25 +141,32 @@ def reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
 
 
 def members_column(text: str) -> Column:
-    @F.arrow_udf("binary")
+    """A text's set, packed, and its digest."""
+
+    @F.arrow_udf("struct<d1:bigint,d2:bigint,members:binary>")
     def members(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
+        sets = [shingle_set(t.as_py()) for t in texts]
+        digests = [digest(m) for m in sets]
+        columns = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
+        return pa.StructArray.from_arrays([*columns, pa.array([m.tobytes() for m in sets], pa.binary())], ["d1", "d2", "members"])
 
     return members(F.col(text))
 
 
-def compared(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``pairs`` (a, b, n, m) with ``common``, the number of shingles their whole sets have in common, and m of b.
+def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """``pairs`` (a, b, n, m) of classes with ``common``, the number of shingles their sets have in common, and m of b.
 
-    Sets are made of those documents only that are in a pair.
+    Sets are made of those documents only that stand for a class in a pair. A document is told by key and digest, so
+    texts that share a key are kept apart.
     """
     spark = docs.sparkSession
     pairs = pin(pairs, scratch_path(spark, "to-compare"))
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = pin(ids, scratch_path(spark, "to-compare"))
-    known = HashFilter(ids.select(F.xxhash64("id").alias("h")), "h")
-    wanted = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("id")))
-    sets = pin(wanted.join(ids, "id", "left_semi").select("id", members_column("_text").alias("members")), scratch_path(spark, "sets"))
+    ids = pin(ids.join(classes, "id").select("id", F.col("rep").alias("key"), "d1", "d2"), scratch_path(spark, "to-compare"))
+    known = HashFilter(ids.select(F.xxhash64("key").alias("h")), "h")
+    wanted = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("key")))
+    made = wanted.select("key", members_column("_text").alias("r")).select("key", "r.d1", "r.d2", "r.members")
+    sets = pin(made.join(ids, ["key", "d1", "d2"]).select("id", "members"), scratch_path(spark, "sets"))
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("_p"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("_q"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", common_column("_p", "_q"))
@@ -199,12 +214,54 @@ def list_pairs(lists: dict[str, np.ndarray], percent: int) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*found, strict=True)]
 
 
+def dealt_lists(lists: DataFrame, percent: int) -> DataFrame:
+    """``lists`` with the walks (i, j) each member takes part in and its own ``block``.
+
+    A short list is one walk. The members of a long one are dealt to cells by set size and place, and cells of more than
+    BLOCK members to blocks. What a cell's sets can share at most (their shingles from the first place on) and how small
+    they are bounds every link between two cells. Pairs of cells below the bound, and those whose members are all
+    connected already, are left out; only members of the others are brought together.
+    """
+    zero = F.lit(0).cast("bigint")
+    short = lists.where(F.col("many") <= BLOCK).withColumns({"i": zero, "j": zero, "block": zero})
+    size, place = F.floor(F.log("n") / math.log(SIZE_STEP)), F.floor(F.col("place") / F.col("n") / PLACE_STEP)
+    long = lists.where(F.col("many") > BLOCK).withColumn("cell", (size * 64 + place).cast("bigint"))
+    bounds = long.groupBy("shingle", "cell").agg(
+        F.ceil(F.count("*") / BLOCK).alias("parts"),
+        F.max(F.col("n") - F.col("place")).alias("most"),
+        F.min("n").alias("least"),
+        F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"),
+    )
+    cells = pin(bounds, scratch_path(lists.sparkSession, "cells"))
+    x, y = cells.alias("x"), cells.alias("y")
+    both = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.cell") <= F.col("y.cell")))
+    common = F.least("x.most", "y.most").cast("bigint")
+    can = 100 * common >= percent * (F.col("x.least").cast("bigint") + F.col("y.least") - common)
+    apart = F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")
+
+    def block(cell: str, part: str) -> Column:
+        return F.col(cell) * (1 << 32) + F.col(part)
+
+    walks = (
+        both.where(can & apart)
+        .select(F.col("x.shingle").alias("shingle"), F.col("x.cell").alias("p"), F.col("y.cell").alias("q"), F.col("x.parts").alias("ps"), F.col("y.parts").alias("qs"))
+        .withColumn("s", F.explode(F.sequence(zero, F.col("ps") - 1)))
+        .withColumn("t", F.explode(F.sequence(zero, F.col("qs") - 1)))
+        .where("p < q or s <= t")
+        .select("shingle", block("p", "s").alias("i"), block("q", "t").alias("j"))
+    )
+    sides = walks.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    parted = long.join(cells.select("shingle", "cell", "parts"), ["shingle", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    parted = parted.withColumn("block", block("cell", "part"))
+    return short.unionByName(parted.join(sides, ["shingle", "block"]).select(*short.columns))
+
+
 def walk_lists(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, n, m, sure) of list members in different components that may link; ``sure`` ones do.
 
     ``lists`` has shingle, many, id, n, place, comp, pivot_n, with_pivot (shingles in common with the list's pivot, -1
-    where not compared). A list of more than BLOCK members is cut in blocks, and each two blocks are walked apart, so
-    no task holds more than two of them.
+    where not compared). Two blocks of a long list are walked apart (``dealt_lists``), so no task holds more than two.
     """
     columns = ("shingle", "i", "j", "block", "id", "n", "place", "comp", "pivot_n", "with_pivot")
 
@@ -228,10 +285,7 @@ def walk_lists(lists: DataFrame, percent: int) -> DataFrame:
                 parts = list_pairs(ready, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["a", "b", "n", "m", "sure"])
 
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = lists.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    dealt = dealt_lists(lists, percent)
     ordered = dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "id")
     return ordered.select(*columns).mapInArrow(walk, "a bigint, b bigint, n bigint, m bigint, sure boolean")
 
@@ -241,17 +295,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Links are exact: 100 * common >= percent * union. Documents without words, null text among them, link with nothing.
     Equal sets are one class; its members are linked with each other. Keys are whole numbers; rows that repeat a key are rows of
-    their own with equal or different sets. A null key gets a null component unless its class has a key.
+    their own with equal or different sets, and all their links count. A null key gets a null component unless its class
+    has a key.
     """
     spark = docs.sparkSession
     surveyed = pin(survey(docs, key, text), scratch_path(spark, "survey"))
     base = surveyed.where(F.col("slice").isNull()).select("id", "n", "d1", "d2")
+    # Classes are numbered: a key does not tell them apart where it is repeated with another text.
     classes = base.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    classes = pin(classes.withColumn("id", F.monotonically_increasing_id()), scratch_path(spark, "classes"))
     # Two sets that differ share at most n - 1 of n shingles, so small ones link with equal ones only.
     least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
-    reps = classes.where(F.col("n") >= least).select(F.col("rep").alias("id")).where("id is not null").distinct()
+    told_by = ["key", "n", "d1", "d2"]
+    reps = classes.where((F.col("n") >= least) & F.col("rep").isNotNull()).select("id", F.col("rep").alias("key"), "n", "d1", "d2")
     packed = prefixes(docs, shingle_counts(surveyed), percent, key, text).where(F.col("n") >= least)
-    packed = pin(packed.join(reps, "id", "left_semi").dropDuplicates(["id"]), scratch_path(spark, "prefixes"))
+    packed = pin(packed.join(reps, told_by).dropDuplicates(told_by).select("id", "n", "prefix"), scratch_path(spark, "prefixes"))
 
     listed = entries(packed)
     heads = listed.groupBy("shingle").agg(F.count("*").alias("many"), F.min("id").alias("pivot")).where("many > 1")
@@ -259,7 +317,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # Most entries stand alone in their list; a filter of fixed size spares them the second shuffle.
     lists = pin(listed.where(HashFilter(heads, "shingle").likely(F.col("shingle"))).join(heads, "shingle"), scratch_path(spark, "lists"))
 
-    answers = pin(compared(star_pairs(lists), docs, key, text), scratch_path(spark, "answers"))
+    answers = pin(compared(star_pairs(lists), docs, classes, key, text), scratch_path(spark, "answers"))
     sure = answers.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent)).select("a", "b")
     comps = pin(components(sure), scratch_path(spark, "components"))
 
@@ -277,13 +335,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"))
     done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = pin(pairs.join(done, ["a", "b"], "left_anti"), scratch_path(spark, "pairs"))
-    checked = compared(pairs.where("not sure").select("a", "b", "n", "m"), docs, key, text)
+    checked = compared(pairs.where("not sure").select("a", "b", "n", "m"), docs, classes, key, text)
     checked = checked.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent))
     tied = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
     links = tied.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))
     joined = pin(components(links), scratch_path(spark, "components"))
 
-    of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select("n", "d1", "d2", F.coalesce("comp", "rep").alias("component_id"))
+    linked = joined.join(classes.select("id", "rep"), "id")
+    first = linked.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    linked = joined.join(pin(first, scratch_path(spark, "first")), "comp").select("id", "component_id")
+    of_class = classes.join(linked, "id", "left").select("n", "d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
     out = base.join(of_class, ["n", "d1", "d2"], "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 

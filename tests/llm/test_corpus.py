@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sharefold.llm.components import components
 from sharefold.llm.contamination import decontaminate, overlaps
-from sharefold.llm.jaccard import jaccard_components, keep_one_of_each
+from sharefold.llm.jaccard import dealt_lists, jaccard_components, keep_one_of_each
 from sharefold.llm.line_dedup import dedup_lines
 
 
@@ -202,6 +202,30 @@ def test_jaccard_of_odd_rows(spark):
     assert jaccard_components(empty(spark)).count() == 0
 
 
+def test_texts_that_share_a_key_keep_their_links(spark):
+    a, b = prose(31, 90), prose(32, 90)
+    rows = [(1, a, "en", "h"), (1, b, "en", "h"), (1, b, "en", "h"), (2, "begin " + a, "en", "h"), (3, "begin " + b, "en", "h")]
+    found = jaccard_components(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1)]
+    assert sorted(r.doc_id for r in keep_one_of_each(documents(spark, rows)).collect()) == [1, 1, 1]
+
+
+def test_blocks_that_cannot_link_are_not_dealt(spark, monkeypatch):
+    """A list of sets of two sizes far apart: no walk holds both, and members already connected meet nobody."""
+    monkeypatch.setattr("sharefold.llm.jaccard.BLOCK", 4)
+    small = [(9, 40, i, 100, i % 3, i, 100, -1) for i in range(20)]
+    large = [(9, 40, i, 400, 2, i if i < 30 else 30, 400, -1) for i in range(20, 40)]
+    lists = spark.createDataFrame(small + large, "shingle long, many long, id long, n int, place int, comp long, pivot_n long, with_pivot int")
+    rows = dealt_lists(lists, 85).collect()
+    walks = {}
+    for r in rows:
+        walks.setdefault((r.i, r.j), set()).add(r.id)
+    assert all(len({i < 20 for i in ids}) == 1 for ids in walks.values())
+    pairs = {(x, y) for ids in walks.values() for x in ids for y in ids if x < y}
+    apart = {(x, y) for x in range(40) for y in range(40) if x < y and (y < 20 or 20 <= x < 30)}
+    assert apart <= pairs and len(rows) < 40 * 10
+
+
 def test_chain_of_links(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7), (90, 100)], "a long, b long")
     found = {r.id: r.comp for r in components(links).collect()}

@@ -1,10 +1,14 @@
 """Each query against its SQL or a brute-force version on the given tables."""
 
+import base64
 import hashlib
 import os
 import re
+import struct
 
+import public_tokenizers
 import pytest
+import tiktoken
 from compare import connect, differences
 
 from sharefold.llm.queries import QUERIES, SQL
@@ -119,3 +123,16 @@ def test_conversations(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256(spoken.encode()).hexdigest()
         assert r.formatted_chars > sum(len(t) for _, t in own)
+
+
+def test_byte_bpe(spark, texts):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = QUERIES["op6_byte_bpe"](spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = other.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
