@@ -104,6 +104,40 @@ def html_shape_check(spark, sf_dir):
     return rows.groupBy("shape_ok").agg(F.count_if(first).alias("pages"), F.count("row_pos").alias("notices"))
 
 
+@check(
+    """
+    SELECT p_partkey, row_pos, p_name AS content, CAST(p_retailprice AS DOUBLE) AS profit, CAST(p_size AS VARCHAR) AS increase,
+      CAST(p_size AS VARCHAR) AS increase_from, '' AS increase_to, '2018-08-1' || row_pos AS day
+    FROM part, (SELECT unnest([0, 1, 2]) AS row_pos)"""
+)
+def html_nested_rows(spark, sf_dir):
+    """Tables inside cells, two deep; the second row's cells and the last row lack their end tags."""
+    inner = F.lit(
+        '<table class="i"><thead><tr><th>x</th></tr></thead><tbody><tr><td><span>in</span></td>'
+        "<td>a<TABLE><tr><td>deep</td></tr></TABLE >b</td></tr></tbody></table>"
+    )
+
+    def span(text):
+        return F.concat(F.lit("<span>"), text, F.lit("</span>"))
+
+    def row(n, cell_end, row_end):
+        name, price, size = F.col("p_name"), F.col("p_retailprice").cast("string"), F.col("p_size").cast("string")
+        cells = [inner, F.concat(inner, span(name)), F.concat(inner, price, inner), F.concat(span(size), inner)]
+        cells += [F.lit("why"), span(F.lit("k")), inner, F.concat(inner, span(F.lit(f"2018-08-1{n}")))]
+        return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit(cell_end)) for c in cells], F.lit(row_end))
+
+    page = F.concat(
+        F.lit("<table><tr><td><table id=Table2><thead><tr>" + "<th>h" * 8 + "</thead><tbody>"),
+        row(0, "</td>", "</tr>"),
+        row(1, "", "</tr>"),
+        row(2, "</td>", ""),
+        F.lit("</tbody></table></td></tr><tr><td>after</td></tr></table>"),
+    )
+    pages = wide_table(spark, sf_dir, "part", "p_partkey").select("p_partkey", page.alias("html"))
+    rows = html_table(pages, "html", "Table2", 8, NOTICE_CELLS).drop("shape_ok")
+    return rows.withColumn("profit", F.col("profit").try_cast("double"))
+
+
 @check(
     "SELECT page_id, regexp_extract(url, '[?&]page=([0-9]+)', 1) AS page FROM pages "
     "WHERE regexp_matches(url, '[?&]page=[0-9]+')"

@@ -105,24 +105,39 @@ def _fetched(df: DataFrame) -> Column:
     return F.coalesce(F.col("status"), F.lit(200)) == 200 if "status" in df.columns else F.lit(True)
 
 
-def _table_html(text: Column, table_id: str) -> Column:
-    pattern = rf"(?is)<table[^>]*\bid\s*=\s*[\"']?{table_id}[\"']?[^>]*>(.*?)</table>"
-    return first_match(text, pattern)
+def _with_table(df: DataFrame, text: Column, table_id: str, *kept: str) -> DataFrame:
+    """``kept`` and ``_table``, the inner text of the table with this id: NULL where it is not there or has no end.
+
+    A table inside it is no part of its rows, its cells' own texts or their spans. It is taken out and leaves a line break,
+    so that the texts around it stay apart. How deep a piece lies is the running sum of tags that open and close a table.
+    """
+    opening = rf"(?is)<table[^>]*\bid\s*=\s*[\"']?{table_id}(?![\w-])[\"']?[^>]*>(.*)$"
+    pieces = df.select(*kept, F.split(first_match(text, opening), r"(?i)(?=</?table\b)", -1).alias("_pieces"))
+    step = F.transform("_pieces", lambda p: F.when(p.rlike(r"(?i)^</table\b"), -1).when(p.rlike(r"(?i)^<table\b"), 1).otherwise(0))
+    steps = pieces.select(*kept, "_pieces", step.alias("_steps"))
+    depth = F.transform("_steps", lambda _, i: F.aggregate(F.slice("_steps", 1, i + 1), F.lit(1), lambda d, s: d + s))
+    depths = steps.select(*kept, "_pieces", depth.alias("_depths"))
+    end = F.array_position("_depths", 0).cast("int")
+    own = F.transform(
+        F.slice("_pieces", 1, end - 1),
+        lambda p, i: F.when(F.get("_depths", i) == 1, F.regexp_replace(p, r"(?i)^</table\b", "<br")).otherwise(F.lit("")),
+    )
+    return depths.select(*kept, F.when(end > 0, F.array_join(own, "")).alias("_table"))
 
 
 def html_rows(table: Column) -> tuple[Column, Column]:
-    """Header count and array of body rows of one table's inner text."""
-    head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead>", 1)
-    body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
+    """Header count and array of body rows of one table's inner text. End tags may be missing, as HTML allows: a part
+    ends where the next one begins."""
+    head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)(?=</thead\b|<tbody\b|\z)", 1)
+    body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)(?=</tbody\b|<tbody\b|\z)", 1)
     headers = F.size(F.regexp_extract_all(head, F.lit(r"(?i)(<th\b)"), F.lit(1)))
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|\z)"), F.lit(1))
     return headers, rows
 
 
 def _parse_html(df: DataFrame, spec: FeedSpec, body: str) -> DataFrame:
     kept = [c for c in df.columns if c != body]
-    table = _table_html(body_text(df, spec, body), fd.NOTICE_TABLE_ID)
-    read = df.select(*kept, table.alias("_table"))
+    read = _with_table(df, body_text(df, spec, body), fd.NOTICE_TABLE_ID, *kept)
     headers, rows = html_rows(F.col("_table"))
     read = read.select(*kept, headers.alias("_headers"), rows.alias("_rows"))
     shaped = F.col("_headers") == fd.NOTICE_COLUMNS
@@ -144,8 +159,8 @@ def html_table(
     ``n_cols`` keeps one row with ``shape_ok`` false and no cells, so callers can set it aside.
     """
     kept = [c for c in df.columns if c != html]
-    headers, rows = html_rows(_table_html(F.col(html), table_id))
-    read = df.select(*kept, headers.alias("_headers"), rows.alias("_rows"))
+    headers, rows = html_rows(F.col("_table"))
+    read = _with_table(df, F.col(html), table_id, *kept).select(*kept, headers.alias("_headers"), rows.alias("_rows"))
     shaped = F.coalesce(F.col("_headers") == n_cols, F.lit(False))
     flat = read.select(
         *kept, shaped.alias("shape_ok"), F.posexplode_outer(F.when(shaped, F.col("_rows"))).alias("row_pos", "_row")
@@ -159,7 +174,7 @@ def html_table(
 
 
 def _cells_of(row: Column) -> Column:
-    return F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1))
+    return F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)(?=</td\b|<td\b|\z)"), F.lit(1))
 
 
 def _cell(cells: Column, number: int, kind: str) -> Column:
