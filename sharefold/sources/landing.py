@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,16 @@ LANDING_SCHEMA = T.StructType(
     ]
 )
 
+# What Spark gives for each whole file.
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 # A landing that several crawls feed also names the crawl of each response.
 CRAWLED_SCHEMA = T.StructType([*LANDING_SCHEMA.fields, T.StructField("crawl", T.LongType())])
 
@@ -32,27 +42,42 @@ def read_landing(spark: SparkSession, path: str, feed: str | None = None, crawle
     return landing
 
 
-def read_landing_files(spark: SparkSession, path: str, feed: str, pattern: str = "*") -> DataFrame:
-    """Raw bodies, one file per response. Share and page come from a ``<share>_<page>.<ext>`` file name."""
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.lit(feed).alias("feed"),
-            F.col("path").alias("url"),
-            F.col("modificationTime").alias("fetched_at"),
-            F.lit(200).alias("status"),
-            F.col("content").alias("body"),
-            F.regexp_extract(name, r"_(\d+)\.[^.]*$", 1).try_cast("int").alias("page_no"),
-            F.lit(None).cast("int").alias("page_size"),
-            F.nullif(F.regexp_extract(name, r"^(.*)_\d+\.[^.]*$", 1), F.lit("")).alias("share_code"),
-        )
+def _as_landing(files: DataFrame, feed: str) -> DataFrame:
+    name = F.element_at(F.split("path", "/"), -1)
+
+    def part(folder: str, in_name: str) -> Column:
+        folders = F.regexp_extract("path", rf"/{folder}=([^/]+)/", 1)
+        return F.coalesce(F.nullif(folders, F.lit("")), F.nullif(F.regexp_extract(name, in_name, 1), F.lit("")))
+
+    return files.select(
+        F.lit(feed).alias("feed"),
+        F.col("path").alias("url"),
+        F.col("modificationTime").alias("fetched_at"),
+        F.lit(200).alias("status"),
+        F.col("content").alias("body"),
+        part("page_no", r"_(\d+)\.[^.]*$").try_cast("int").alias("page_no"),
+        F.lit(None).cast("int").alias("page_size"),
+        part("share_code", r"^(.*)_\d+\.[^.]*$").alias("share_code"),
     )
 
 
+def read_landing_files(spark: SparkSession, path: str, feed: str, pattern: str = "*") -> DataFrame:
+    """Raw bodies, one file per response. Share and page come from folders ``share_code=.../page_no=...``, as a
+    partitioned write makes them, or from a ``<share>_<page>.<ext>`` file name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    return _as_landing(files.load(path), feed)
+
+
+def stream_landing_files(
+    spark: SparkSession, path: str, feed: str, pattern: str = "*", max_files: int | None = None
+) -> DataFrame:
+    """``read_landing_files`` as a stream of newly landed files."""
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
+    if max_files:
+        files = files.option("maxFilesPerTrigger", max_files)
+    return _as_landing(files.option("recursiveFileLookup", "true").load(path), feed)
+
+
 def stream_landing(
     spark: SparkSession, path: str, feed: str | None = None, max_files: int | None = None, crawled: bool = False
 ) -> DataFrame:
