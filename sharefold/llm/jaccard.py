@@ -141,14 +141,13 @@ def reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
 
 
 def members_column(text: str) -> Column:
-    """A text's set, packed, and its digest."""
+    """A text's set, packed, and the first half of its digest, which tells apart the texts of one key."""
 
-    @F.arrow_udf("struct<d1:bigint,d2:bigint,members:binary>")
+    @F.arrow_udf("struct<d1:bigint,members:binary>")
     def members(texts: pa.Array) -> pa.Array:
         sets = [shingle_set(t.as_py()) for t in texts]
-        digests = [digest(m) for m in sets]
-        columns = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
-        return pa.StructArray.from_arrays([*columns, pa.array([m.tobytes() for m in sets], pa.binary())], ["d1", "d2", "members"])
+        first = pa.array([digest(m)[0] for m in sets], pa.int64())
+        return pa.StructArray.from_arrays([first, pa.array([m.tobytes() for m in sets], pa.binary())], ["d1", "members"])
 
     return members(F.col(text))
 
@@ -162,11 +161,11 @@ def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, te
     spark = docs.sparkSession
     pairs = pin(pairs, scratch_path(spark, "to-compare"))
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = pin(ids.join(classes, "id").select("id", F.col("rep").alias("key"), "d1", "d2"), scratch_path(spark, "to-compare"))
+    ids = pin(ids.join(classes, "id").select("id", F.col("rep").alias("key"), "d1"), scratch_path(spark, "to-compare"))
     known = HashFilter(ids.select(F.xxhash64("key").alias("h")), "h")
     wanted = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("key")))
-    made = wanted.select("key", members_column("_text").alias("r")).select("key", "r.d1", "r.d2", "r.members")
-    sets = pin(made.join(ids, ["key", "d1", "d2"]).select("id", "members"), scratch_path(spark, "sets"))
+    made = wanted.select("key", members_column("_text").alias("r")).select("key", "r.d1", "r.members")
+    sets = pin(made.join(ids, ["key", "d1"]).select("id", "members"), scratch_path(spark, "sets"))
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("_p"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("_q"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", common_column("_p", "_q"))
@@ -301,8 +300,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     surveyed = pin(survey(docs, key, text), scratch_path(spark, "survey"))
     base = surveyed.where(F.col("slice").isNull()).select("id", "n", "d1", "d2")
-    # Classes are numbered: a key does not tell them apart where it is repeated with another text.
-    classes = base.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    # Classes are numbered: a key does not tell them apart where it is repeated with another text. Numbers follow the keys, so
+    # a pivot is a list's earliest document, mostly the one that others were copied from.
+    classes = base.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")).orderBy("rep", "n", "d1")
     classes = pin(classes.withColumn("id", F.monotonically_increasing_id()), scratch_path(spark, "classes"))
     # Two sets that differ share at most n - 1 of n shingles, so small ones link with equal ones only.
     least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
@@ -341,8 +341,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = tied.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))
     joined = pin(components(links), scratch_path(spark, "components"))
 
-    linked = joined.join(classes.select("id", "rep"), "id")
-    first = linked.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    # The smallest number of a component is that of its smallest key.
+    first = joined.where("id = comp").join(classes, "id").select("comp", F.col("rep").alias("component_id"))
     linked = joined.join(pin(first, scratch_path(spark, "first")), "comp").select("id", "component_id")
     of_class = classes.join(linked, "id", "left").select("n", "d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
     out = base.join(of_class, ["n", "d1", "d2"], "left")
