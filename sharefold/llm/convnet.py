@@ -1,6 +1,6 @@
 """A byte convolutional network in numpy: embedding, filters of several widths, max pooling, softmax.
 
-It is trained on the driver on a bounded sample and applied inside tasks. For use, embedding and filters are folded
+It is trained on the driver on a bounded sample, or shard by shard in tasks, and applied inside tasks. For use, embedding and filters are folded
 into look-up tables over bytes and byte pairs, so a filter costs one or two table rows a position.
 """
 
@@ -55,10 +55,10 @@ class ByteConvNet:
                 np.add.at(g["emb"], seen.ravel(), (part[:, :, None] * self.p[f"w{w}"][rows].T[None]).reshape(-1, d))
         return g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 2):
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 2, least_steps: int = 1000):
         """Adam on cross-entropy over windows ``x`` (n, length) of bytes and class numbers ``y``; few windows are seen
         more often, so that the steps do not become too few."""
-        epochs = max(epochs, 1000 * batch // max(1, len(y)) if len(y) < 125 * batch else 0)
+        epochs = max(epochs, least_steps * batch // max(1, len(y)) if len(y) < 125 * batch else 0)
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(q) for k, q in self.p.items()}
