@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharefold.llm.bpe import share_tokenizer, tokenize
+from sharefold.llm.common import bound_batches
 from sharefold.llm.contamination import decontaminate
 from sharefold.llm.jaccard import keep_one_of_each
 from sharefold.llm.language import fit_language_model, identify_languages
@@ -31,6 +32,7 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents and drops those without letters or without a clear language. Where nothing is
     labelled, only those without letters go."""
+    bound_batches(spark)
     model = fit_language_model(docs)
     if model is None:
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
@@ -46,6 +48,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
+    bound_batches(spark)
     return keep_one_of_each(docs)
 
 
@@ -56,6 +59,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document: doc_id, n_tokens, ids."""
+    bound_batches(spark)
     tokenizer = share_tokenizer(spark, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
     coded = tokenize(docs.select("doc_id", "text"), tokenizer)
     return coded.select("doc_id", F.size("_ids").cast("bigint").alias("n_tokens"), F.col("_ids").alias("ids"))
