@@ -3,12 +3,11 @@ ingested; the stored table must equal what SQL makes of the same rows."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from checks.registry import check, epoch_ms, json_pages, table, text_array, wide_table
 from sharefold.plans import ingest
-from sharefold.session import scratch_path
+from sharefold.session import jvm_charsets, scratch_path
 
 
 def landed(pages, feed, body, arrived, page_no=1, share=None):
@@ -137,16 +136,6 @@ def feed_financial_notice(spark, sf_dir):
     return notice_run(spark, sf_dir).table()
 
 
-def to_gbk(texts):
-    """Bodies in a charset Spark's ``encode`` refuses."""
-
-    @F.pandas_udf("binary")
-    def encode(batch: pd.Series) -> pd.Series:
-        return batch.str.encode("gbk")
-
-    return encode(texts)
-
-
 @check(
     """
     SELECT CAST(o_custkey AS VARCHAR) AS shares_code, CAST(o_orderdate AS DATE) AS announcement_date,
@@ -174,8 +163,9 @@ def feed_shareholder_change(spark, sf_dir):
     }
     unit = positional(places, 17)
     pages = json_pages(table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 20), "o_orderkey", unit)
-    body = to_gbk(F.concat(F.lit("var x={data:"), text_array("units"), F.lit(",pages:9}")))
-    landing = landed(pages, "shareholder_change", body, F.col("page"))
+    body = F.encode(F.concat(F.lit("var x={data:"), text_array("units"), F.lit(",pages:9}")), "GBK")
+    with jvm_charsets(spark, replace=False):
+        landing = landed(pages, "shareholder_change", body, F.col("page"))
     return ingest(landing, "shareholder_change", scratch_path(spark, "holder"), 1).table()
 
 

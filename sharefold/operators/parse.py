@@ -25,6 +25,7 @@ from sharefold.functions import (
 )
 from sharefold.functions.clock import MINUTE_PATTERN, SECOND_PATTERN
 from sharefold.functions.text import first_match
+from sharefold.session import jvm_charsets
 
 LENIENT_JSON = {
     "allowUnquotedFieldNames": "true",
@@ -64,14 +65,9 @@ def lenient_json(text: Column | str, schema: str) -> Column:
     return F.from_json(text, schema, LENIENT_JSON)
 
 
-def body_text(df: DataFrame, spec: FeedSpec, body: Column | str = "body") -> Column:
-    """Unwrapped text of the body column in a feed's charset and wrapper."""
-    conf = df.sparkSession.conf
-    in_jvm = (
-        conf.get("spark.sql.legacy.javaCharsets", "false") == "true"
-        and conf.get("spark.sql.legacy.codingErrorAction", "false") == "true"
-    )
-    text = decode_body(body, spec.charset, jvm_charsets=in_jvm)
+def body_text(spec: FeedSpec, body: Column | str = "body") -> Column:
+    """Unwrapped text of the body column in a feed's charset and wrapper. To be selected within ``jvm_charsets``."""
+    text = decode_body(body, spec.charset, jvm_charsets=True)
     if spec.wrapper == "jsonp":
         return unwrap_jsonp(text)
     if spec.wrapper == "assignment":
@@ -84,7 +80,8 @@ def parse_envelope(df: DataFrame, spec: FeedSpec, body: str = "body") -> DataFra
     if spec.unit == "html":
         return _parse_html(df, spec, body)
     kept = [c for c in df.columns if c != body]
-    read = df.select(*kept, lenient_json(body_text(df, spec, body), envelope_schema(spec)).alias("_env"))
+    with jvm_charsets(df.sparkSession):
+        read = df.select(*kept, lenient_json(body_text(spec, body), envelope_schema(spec)).alias("_env"))
     ours = {name: F.col(f"_env.`{theirs}`") for name, theirs in spec.counters}
     # A body that is not the feed's JSON gives a struct of NULLs, so the test is on what every good page carries.
     required = list(ours.values()) or [F.col(f"_env.`{spec.array}`")]
@@ -137,7 +134,8 @@ def html_rows(table: Column) -> tuple[Column, Column]:
 
 def _parse_html(df: DataFrame, spec: FeedSpec, body: str) -> DataFrame:
     kept = [c for c in df.columns if c != body]
-    read = _with_table(df, body_text(df, spec, body), fd.NOTICE_TABLE_ID, *kept)
+    with jvm_charsets(df.sparkSession):
+        read = _with_table(df, body_text(spec, body), fd.NOTICE_TABLE_ID, *kept)
     headers, rows = html_rows(F.col("_table"))
     read = read.select(*kept, headers.alias("_headers"), rows.alias("_rows"))
     shaped = F.col("_headers") == fd.NOTICE_COLUMNS

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,25 @@ def build_session(app: str = "sharefold", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+@contextmanager
+def jvm_charsets(spark: SparkSession, replace: bool = True) -> Iterator[None]:
+    """Lets queries that are built inside read and write any charset of the JVM without Python. An expression takes these
+    settings up when it is analysed, so the session gets its own back at the end. What a charset does not have becomes a
+    mark; it ends the job without ``replace``."""
+    wanted = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": str(replace).lower()}
+    own = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in own.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: what the session names. A local master may do without and gets a local
     folder; anywhere else a missing name is an error, since executors would write to disks of their own."""
