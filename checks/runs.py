@@ -265,7 +265,8 @@ CRAWLS_SQL = f"""
 
 
 def two_crawls(spark, sf_dir, path):
-    """A stream over landed files of two crawls, stopped and taken up again; some of a crawl's newest pages land last."""
+    """A stream over landed files of two crawls, stopped and taken up again for each part; some of a crawl's newest pages
+    land last."""
     events, names = table(spark, sf_dir, "events"), pin(customers(spark, sf_dir), f"{path}/names")
     early = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     for crawl, rows in ((1, early), (2, events)):
@@ -273,12 +274,12 @@ def two_crawls(spark, sf_dir, path):
         first, last = (pages.select(bound("page_no")).scalar() for bound in (F.min, F.max))
         late = (F.col("page_no") < first + (last - first) * 0.2) & (F.col("page_no") % 3 == 0)
         for part in (~late, late):
-            pages.where(part).coalesce(1).write.mode("append").parquet(f"{path}/landing")
-        landing = stream_landing(spark, f"{path}/landing", "news", max_files=1, crawled=True)
-        stream_feed(
-            landing, "news", f"{path}/tables", f"{path}/checkpoint", universe=names,
-            mode="newest", as_of_ms=AS_OF_MS, period_days=CRAWL_DAYS,
-        ).awaitTermination()
+            pages.where(part).write.mode("append").parquet(f"{path}/landing")
+            landing = stream_landing(spark, f"{path}/landing", "news", crawled=True)
+            stream_feed(
+                landing, "news", f"{path}/tables", f"{path}/checkpoint", universe=names,
+                mode="newest", as_of_ms=AS_OF_MS, period_days=CRAWL_DAYS,
+            ).awaitTermination()
 
 
 @check(

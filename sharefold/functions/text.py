@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 LINK_PATTERN = r"(<a[^\n]+/a>)"
 
 _OPEN_TAG = r"(?i)(<a(?:\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?/?>)"
-_HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+_HREF = r"(?i)\shref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
 _ENTITY_OR_TEXT = r"(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&\w+;|[^&]+|&)"
 
 
@@ -76,9 +77,13 @@ def unwrap_assignment(text: Column | str) -> Column:
     return first_match(_col(text), r"(?s)^[^=]*=+(.*)$")
 
 
-def _code(entity: Column) -> Column:
-    """Code point that an entity names, NULL for one that names none; ``entity`` starts with ``&``."""
-    name = F.regexp_replace(entity, "[&;]", "")
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _code(name: Column) -> Column:
+    """Code point of an entity's name, what stands between ``&`` and ``;``; NULL for one that names none."""
     number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7))
     return F.coalesce(number, F.try_element_at(_named_entities(), name)).try_cast("int")
 
@@ -89,32 +94,39 @@ def _character(code: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
+def _entity(piece: Column) -> Column:
+    """The character that an entity names, NULL for one that names none."""
+    return _held(F.translate(piece, "&;", ""), lambda name: _held(_code(name), _character))
+
+
 def unescape(text: Column) -> Column:
     """Text with its entities, numbered or named, as characters; what is no entity stays."""
     pieces = F.regexp_extract_all(text, F.lit(_ENTITY_OR_TEXT), F.lit(1))
-    # The inner transform holds a piece's code point, so that it is looked up once.
-    read = F.transform(
-        pieces,
-        lambda p: F.when(p.rlike("^&.+;$"), F.coalesce(F.get(F.transform(F.array(_code(p)), _character), F.lit(0)), p)).otherwise(p),
-    )
+    read = F.transform(pieces, lambda p: F.when(p.rlike("^&.+;$"), F.coalesce(_entity(p), p)).otherwise(p))
     return F.when(F.contains(text, F.lit("&")), F.array_join(read, "")).otherwise(text)
 
 
 def anchor_head(text: Column | str) -> Column:
     """Text before the link block; the whole text when it holds no link."""
     text = _col(text)
-    link = F.regexp_extract(text, LINK_PATTERN, 1)
     # An earlier copy of the same link text would itself have matched, so the first place is the match's place.
-    return F.when(link == "", text).otherwise(F.substring(text, F.lit(1), F.position(link, text) - 1))
+    return _held(
+        F.regexp_extract(text, LINK_PATTERN, 1),
+        lambda link: F.when(link == "", text).otherwise(F.substring(text, F.lit(1), F.position(link, text) - 1)),
+    )
 
 
 def anchor_url(text: Column | str) -> Column:
     """Address of the last link; '' without a link, NULL when the last link has no address."""
     text = _col(text)
-    link = F.regexp_extract(text, LINK_PATTERN, 1)
-    last_tag = F.try_element_at(F.regexp_extract_all(link, F.lit(_OPEN_TAG), F.lit(1)), F.lit(-1))
-    quoted = [F.nullif(F.regexp_extract(last_tag, _HREF, group), F.lit("")) for group in (1, 2, 3)]
-    return F.when(link == "", F.lit("")).otherwise(unescape(F.coalesce(*quoted)))
+
+    def address(link: Column) -> Column:
+        last_tag = F.try_element_at(F.regexp_extract_all(link, F.lit(_OPEN_TAG), F.lit(1)), F.lit(-1))
+        # A value in quotes loses them; one without holds none.
+        value = F.regexp_replace(F.regexp_extract(last_tag, _HREF, 1), r"\A[\"']|[\"']\z", "")
+        return F.when(link == "", F.lit("")).otherwise(_held(F.nullif(value, F.lit("")), unescape))
+
+    return _held(F.regexp_extract(text, LINK_PATTERN, 1), address)
 
 
 def span_texts(cell: Column) -> Column:

@@ -23,6 +23,7 @@ from sharefold.operators.parse import BAD_SHAPE, OK, REFETCH, parse_feed
 from sharefold.operators.shares import enrich_share, high_water, require_shares, share_universe, with_cutoff
 from sharefold.operators.store import key_rules, stored_projection, with_partition, with_reasons
 from sharefold.sinks.tables import merge_feed, pin, read_if_there, read_stored
+from sharefold.sources.landing import deal_pages
 
 ARRIVAL = ("batch", "run", "fetched_at", "page_no", "unit_pos")
 
@@ -349,7 +350,7 @@ def ingest_crawls(
     if None in crawls:
         raise ValueError("a page without a crawl number")
     return {
-        crawl: ingest(landing.where(F.col("crawl") == crawl), feed_name, root, batch, universe, run_id=crawl, **options)
+        crawl: ingest(deal_pages(landing.where(F.col("crawl") == crawl)), feed_name, root, batch, universe, run_id=crawl, **options)
         for crawl in crawls
     }
 
@@ -376,5 +377,5 @@ def ingest_all(
             if index is None:
                 raise ValueError(f"feed {name} needs the share universe, and no basic index is stored")
             universe = pin(share_universe(index), f"{root}/_lookups/universe/batch={batch}")
-        runs[name] = ingest(landing, name, root, batch, universe=universe, **(options or {}).get(name, {}))
+        runs[name] = ingest(deal_pages(landing.where(F.col("feed") == name)), name, root, batch, universe=universe, **(options or {}).get(name, {}))
     return runs

@@ -87,3 +87,10 @@ def stream_landing(
         reader = reader.option("maxFilesPerTrigger", max_files)
     landing = reader.parquet(path)
     return landing if feed is None else landing.where(F.col("feed") == feed)
+
+
+def deal_pages(landing: DataFrame) -> DataFrame:
+    """The landed responses dealt to all cores. A landing is read in pieces no smaller than a row group of its files, and
+    pages pack so well that one row group can hold most of a batch; parsing them is the costly part of a run."""
+    cores = landing.sparkSession.sparkContext.defaultParallelism
+    return landing.repartition(cores, "feed", "url", "share_code", "page_no", "fetched_at")

@@ -13,6 +13,7 @@ from sharefold.operators.incremental import ALL, cut_mode
 from sharefold.operators.merge import with_arrival
 from sharefold.plans.ingest import ingest, ingest_crawls
 from sharefold.sinks.tables import merge_into_table
+from sharefold.sources.landing import deal_pages
 
 # Fixed value: how late a row may be and still be recognised as a repeat.
 LATENESS = "90 days"
@@ -84,7 +85,7 @@ def stream_feed(
         raise ValueError(f"a stream of {feed_name} in mode {mode} needs the column crawl")
 
     def write(rows: DataFrame, batch: int) -> None:
-        take = ingest_crawls if crawled else ingest
-        take(rows, feed_name, root, first_batch + batch, universe=universe, **options)
+        take, pages = (ingest_crawls, rows) if crawled else (ingest, deal_pages(rows))
+        take(pages, feed_name, root, first_batch + batch, universe=universe, **options)
 
     return _start(landing, write, checkpoint, available_now)

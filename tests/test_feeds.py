@@ -4,10 +4,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from sharefold.feeds import FEEDS, feed
 from sharefold.operators.parse import OK, REFETCH, parse_envelope, parse_feed, split_corrupt
 from sharefold.operators.shares import share_universe
-from sharefold.plans import ingest
+from sharefold.plans import ingest, ingest_all
 
 
 def positions(n, **values):
@@ -237,3 +238,28 @@ def test_envelope_is_read_once(spark, landing):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("from_json") == 1
     assert "Python" not in text
+
+
+def test_a_gbk_feed_needs_no_python_and_leaves_the_session_as_it_was(spark, landing):
+    names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "false")
+        body = 'var x={data:["600001,浦发"],pages:7}'.encode("gbk")
+        parsed = parse_feed(landing(("shareholder_change", body, {}), ("shareholder_change", b"\xff\xff", {})), feed("shareholder_change"), keep_empty=True)
+        assert "Python" not in parsed._jdf.queryExecution().toString()
+        assert [(r["name"], r["page_state"]) for r in parsed.collect()] == [("浦发", "ok"), (None, "refetch")]
+        assert [spark.conf.get(name) for name in names] == ["false", "false"]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_pages_of_one_landed_file_are_parsed_by_all_cores(spark, landing, tmp_path):
+    unit = ",".join(["1", "{}", "x"] + ["1"] * 21 + ["2018-08-10 15:00:00"])
+    pages = [("basic_index", 'jQuery({data: ["%s"], recordsFiltered: 1})' % unit.format(600000 + i), {"page_no": i}) for i in range(40)]
+    landing(*pages).coalesce(1).write.parquet(str(tmp_path / "landed"))
+    run = ingest_all(spark.read.parquet(str(tmp_path / "landed")), str(tmp_path / "tables"), 1)["basic_index"]
+    assert run.parsed().count() == 40
+    assert run.parsed().select(F.input_file_name()).distinct().count() == spark.sparkContext.defaultParallelism
