@@ -111,12 +111,13 @@ class FeedRun:
         return f"{self.root}/_judged/{self.spec.name}/run={self.run}/batch={self.batch}"
 
     def judged(self) -> DataFrame:
-        """The batch's units as they were judged; ``reject_reason`` is '' for those that went on to the table."""
-        return self.spark.read.parquet(self.judged_path)
+        """The batch's units as they were judged; ``reject_reason`` is '' for those that went on to the table. Only a timeline
+        writes them all, once they are cut; others judge the parsed rows again."""
+        return self.spark.read.parquet(self.judged_path) if self.spec.timeline else self.judge(self.parsed())
 
     def rejects(self) -> DataFrame:
         """Units that could not be stored, with the reason. They stay on record for ``replay_rejects``."""
-        return self.judged().where(F.col("reject_reason") != "")
+        return self.spark.read.parquet(self.judged_path).where(F.col("reject_reason") != "")
 
     @property
     def replayed_path(self) -> str:
@@ -189,7 +190,7 @@ def stage_feed(
         _total(page & (F.col("page_state") == BAD_SHAPE)).alias("bad_shapes"),
         _total((F.col("page_state") == OK) & F.col("unit_pos").isNotNull()).alias("units"),
     )
-    return pin(watched, run.parsed_path), seen.get
+    return pin(watched, run.parsed_path, compression="zstd"), seen.get
 
 
 def _cut(rows: DataFrame, spec: FeedSpec, run: FeedRun, mode: str, as_of: int | None, days: int) -> DataFrame:
@@ -285,8 +286,14 @@ def ingest(
     if spec.timeline:
         rows = _cut(rows, spec, run, mode, as_of_ms, period_days)
     seen, sound = Observation(), F.col("reject_reason") == ""
-    judged = run.judge(rows).observe(seen, _total(sound).alias("accepted"), _total(~sound).alias("rejects"))
-    judged = pin(judged, run.judged_path)
+    judged = run.judge(rows)
+    watched = judged.observe(seen, _total(sound).alias("accepted"), _total(~sound).alias("rejects"))
+    if spec.timeline:
+        # Cut once, by a join.
+        judged = pin(watched, run.judged_path)
+    else:
+        # Judging reads one parsed row at a time, so the record of rejects is all that is written of it.
+        pin(watched.where(~sound), run.judged_path)
     changed = _store(run, judged.where(sound), extra_keys, only_changes)
     counts = {**counted, **seen.get, **changed}
     pin(run.spark.range(1).select(*[F.lit(counts[n]).cast("bigint").alias(n) for n in METRICS]), _metrics_path(run))

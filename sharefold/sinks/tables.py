@@ -1,9 +1,9 @@
 """Stored tables kept current by keyed merge.
 
 Below a table's path stand ``rows/`` (Parquet, partitioned by a function of the key), ``merged/`` (what the last
-batch turned its partitions into) and ``state/`` (how far that batch got). A batch reads and rewrites only the
-partitions it touches. Their new content is written out in full before any stored one is replaced, so a run that
-dies between the two steps is finished by ``resume`` from what is on disk.
+batch turned its partitions into, partitioned alike) and ``state/`` (how far that batch got). A batch reads and rewrites
+only the partitions it touches. Their new content is written out in full, once, before any stored one is replaced by it, so
+a run that dies between the two steps is finished by ``resume`` from what is on disk.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ from sharefold.operators.merge import FIRST, LAST, fold_by_key, upsert
 
 MERGED, APPLIED = "merged", "applied"
 
+# A first load is counted by partition and this many cells of the key's hash. A cell of more than CELL_ROWS rows collapses
+# before it is dealt; a task gets no more than about TASK_ROWS rows of one partition.
+CELLS, CELL_ROWS, TASK_ROWS = 64, 1_000_000, 500_000
+
 
 def is_there(spark: SparkSession, path: str) -> bool:
     """Is there anything below ``path``, on whatever file system it names?"""
@@ -55,14 +59,20 @@ def _note(spark: SparkSession, path: str, step: str) -> None:
     spark.range(1).select(F.lit(step).alias("step")).write.mode("overwrite").parquet(f"{path}/state")
 
 
-def _apply(spark: SparkSession, path: str, partition: str, schema: T.StructType | None = None) -> None:
-    (
-        read_if_there(spark, f"{path}/merged", schema)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(f"{path}/rows")
-    )
+def _apply(spark: SparkSession, path: str, partition: str) -> None:
+    """Puts the merged partition folders in the place of the stored ones. Each is renamed, so its rows are not written again;
+    a run that dies here finds the folders that are still to move where they were."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    merged, rows = make(f"{path}/merged"), make(f"{path}/rows")
+    files = merged.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(rows)
+    for status in files.listStatus(merged):
+        folder = status.getPath()
+        if status.isDirectory() and folder.getName().startswith(f"{partition}="):
+            old = make(rows, folder.getName())
+            files.delete(old, True)
+            if not files.rename(folder, old):
+                raise OSError(f"{folder} could not be moved to {old}")
     _note(spark, path, APPLIED)
 
 
@@ -76,10 +86,10 @@ def resume(spark: SparkSession, path: str, partition: str) -> bool:
     return True
 
 
-def pin(small: DataFrame, path: str) -> DataFrame:
+def pin(small: DataFrame, path: str, **options: str) -> DataFrame:
     """A look-up written out and read back, so that Spark knows its size when it plans a join with it: it
     broadcasts the look-up only below the session's threshold, and shuffles otherwise."""
-    small.write.mode("overwrite").parquet(path)
+    small.write.mode("overwrite").options(**options).parquet(path)
     return small.sparkSession.read.schema(small.schema).parquet(path)
 
 
@@ -110,6 +120,29 @@ def _changes(stored: DataFrame, incoming: DataFrame, key: tuple[str, ...], stick
     return arrived.join(known, same, "left_anti")
 
 
+def fold_dealt(incoming: DataFrame, key: tuple[str, ...], sticky: tuple[str, ...], partition: str, path: str) -> DataFrame:
+    """One row per key, as ``fold_by_key`` gives it, with the rows of a partition together in few tasks: ready to be written.
+
+    Rows move once: they are dealt by partition and a part of the key's hash, and fold where they arrive. A key with very
+    many rows would make a long task of that; the cells such keys lie in collapse before they move and are dealt after.
+    """
+    marked = incoming.withColumn("_cell", F.pmod(F.xxhash64(*key), F.lit(CELLS)).cast("int"))
+    cells = pin(marked.groupBy(partition, "_cell").agg(F.count(F.lit(1)).alias("rows")), f"{path}/cells")
+    most = cells.groupBy(partition).agg(F.sum("rows").alias("rows")).agg(F.max("rows")).head()[0] or 0
+    parts = max(1, min(CELLS, -(-most // TASK_ROWS)))
+    full = cells.where(F.col("rows") > CELL_ROWS).select(F.col(partition).alias("_full"), F.col("_cell").alias("_full_cell"))
+    inside = F.col(partition).eqNullSafe(F.col("_full")) & (F.col("_cell") == F.col("_full_cell"))
+    crowded = not full.isEmpty()
+    few = marked.join(full, inside, "left_anti") if crowded else marked
+    dealt = few.withColumn("_part", F.col("_cell") % parts).drop("_cell").repartition(partition, "_part")
+    # Both are functions of the key. In front, they keep the rows of a partition side by side.
+    folded = fold_by_key(dealt, (partition, "_part", *[k for k in key if k != partition]), sticky).drop("_part")
+    if not crowded:
+        return folded
+    many = fold_by_key(marked.join(full, inside, "left_semi").drop("_cell"), key, sticky)
+    return folded.unionByName(many.hint("rebalance", partition))
+
+
 def merge_into_table(
     incoming: DataFrame,
     path: str,
@@ -139,15 +172,21 @@ def merge_into_table(
         if only_changes:
             incoming = pin(_changes(stored, incoming, key, sticky), f"{path}/changed")
             stored = stored_in(everything, touched_partitions(incoming, partition, path), partition)
-    merged = upsert(stored, incoming, key, sticky)
     seen = Observation()
-    # Rows of one partition come together here, a large one in several tasks, so replacing needs no further shuffle.
-    dealt = merged.hint("rebalance", partition)
+    # Rows of one partition come together here, a large one in several tasks, so writing needs no further shuffle.
+    if stored is None:
+        dealt = fold_dealt(incoming, key, sticky, partition, path)
+    else:
+        dealt = upsert(stored, incoming, key, sticky).hint("rebalance", partition)
+    schema = dealt.schema
     # Observed last: what stands below an exchange is lost from the plan when no row passes it.
     dealt = dealt.observe(seen, *[total.alias(name) for name, total in watch.items()]) if watch else dealt
-    dealt.write.mode("overwrite").parquet(f"{path}/merged")
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy(partition).parquet(f"{path}/merged")
     _note(spark, path, MERGED)
-    _apply(spark, path, partition, merged.schema)
+    _apply(spark, path, partition)
+    if not is_there(spark, f"{path}/rows"):
+        # Without a row there is no folder; the columns are kept for who reads the table.
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/merged")
     return seen.get if watch else {}
 
 
