@@ -156,7 +156,8 @@ def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, te
     """``pairs`` (a, b, n, m) of classes with ``common``, the number of shingles their sets have in common, and m of b.
 
     Sets are made of those documents only that stand for a class in a pair. A document is told by key and digest, so
-    texts that share a key are kept apart.
+    texts that share a key are kept apart. Sets are by far the widest rows here, so it is the pairs that are given the keys
+    and digests of both sides: all sets move once, for both sides alike, and then once with each pair.
     """
     spark = docs.sparkSession
     pairs = pin(pairs, scratch_path(spark, "to-compare"))
@@ -165,10 +166,14 @@ def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, te
     known = HashFilter(ids.select(F.xxhash64("key").alias("h")), "h")
     wanted = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("_text")).where(known.likely(F.xxhash64("key")))
     made = wanted.select("key", members_column("_text").alias("r")).select("key", "r.d1", "r.members")
-    sets = pin(made.join(ids, ["key", "d1"]).select("id", "members"), scratch_path(spark, "sets"))
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("_p"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("_q"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", common_column("_p", "_q"))
+    sets = pin(made, scratch_path(spark, "sets"))
+    named = pairs.select("a", "b", "n")
+    for side in ("a", "b"):
+        named = named.join(ids.select(F.col("id").alias(side), F.col("key").alias(f"_key_{side}"), F.col("d1").alias(f"_d1_{side}")), side)
+    named = pin(named, scratch_path(spark, "to-compare"))
+    left = sets.select(F.col("key").alias("_key_a"), F.col("d1").alias("_d1_a"), F.col("members").alias("_p"))
+    right = sets.select(F.col("key").alias("_key_b"), F.col("d1").alias("_d1_b"), F.col("members").alias("_q"))
+    both = named.join(left, ["_key_a", "_d1_a"]).join(right, ["_key_b", "_d1_b"]).withColumn("common", common_column("_p", "_q"))
     return both.select("a", "b", "n", (F.length("_q") / 8).cast("bigint").alias("m"), "common")
 
 

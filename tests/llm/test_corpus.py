@@ -284,3 +284,23 @@ def test_python_tasks_of_the_pipeline_take_small_batches(spark):
         assert sum(sizes) > 8 << 20 and max(sizes) < 5 << 20
     finally:
         spark.conf.set(name, before)
+
+
+def test_jaccard_sets_are_made_without_a_join(spark, monkeypatch):
+    from sharefold.llm import jaccard
+
+    plans, pin = [], jaccard.pin
+
+    def noted(df, path):
+        if "/sets-" in path:
+            lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+            # Subqueries hang on lines that a colon leads in.
+            plans.append([line for line in lines if ":" not in line[: len(line) - len(line.lstrip(" :+-"))]])
+        return pin(df, path)
+
+    monkeypatch.setattr(jaccard, "pin", noted)
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, "y " * 9)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+    assert plans and not any("Join" in line for plan in plans for line in plan)

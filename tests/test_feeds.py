@@ -156,6 +156,16 @@ def test_share_pledge(spark, landing, tmp_path):
     assert got["600002"]["share_ratio"] is None and got["600002"]["equity_datio"] == 1.5
 
 
+def test_only_rejects_are_written_beside_the_parsed_rows(spark, landing, tmp_path):
+    unit = {"scode": "600001", "sname": "AAA", "updatedate": 1533883920000}
+    body = "var x=" + json.dumps({"pages": 1, "data": [unit, {**unit, "scode": None}]})
+    run = ingest(landing(("share_pledge", body, {})), "share_pledge", str(tmp_path), 1)
+    assert spark.read.parquet(run.judged_path).count() == run.rejects().count() == 1
+    assert sorted(r.reject_reason for r in run.judged().collect()) == ["", "shares_code missing"]
+    counts = run.metrics().head()
+    assert (counts.units, counts.accepted, counts.rejects, counts.rows_new) == (2, 1, 1, 1)
+
+
 def test_restricted_release(spark, landing, tmp_path):
     def unit(code, zzb, zb):
         return {

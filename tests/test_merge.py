@@ -180,3 +180,38 @@ def test_only_changes_leaves_other_partitions_alone(spark, tmp_path):
     before, after = merge(rows), merge(again)
     assert [day for day in sorted(before) if before[day] != after[day]] == ["2018-08-04"]
     assert state(read_stored(spark, path)) == by_hand(rows + again)
+
+
+def test_a_first_load_moves_rows_once_and_equals_row_by_row_writing(spark, tmp_path, monkeypatch):
+    rows, path = some_rows(4), str(tmp_path / "t")
+    for cell_rows in (1_000_000, 5):  # with the second, most cells are crowded
+        monkeypatch.setattr(sink, "CELL_ROWS", cell_rows)
+        monkeypatch.setattr(sink, "TASK_ROWS", 20)
+        write(spark, f"{path}{cell_rows}", rows)
+        assert state(read_stored(spark, f"{path}{cell_rows}")) == by_hand(rows)
+    monkeypatch.setattr(sink, "CELL_ROWS", 1_000_000)
+    folded = sink.fold_dealt(spark.read.parquet(f"{path}5-in"), ("code", "day"), ("name",), "day", path)
+    assert folded._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_merged_rows_are_written_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write(spark, path, some_rows(5))
+    assert not list((tmp_path / "t" / "merged").glob("day=*")) and not list((tmp_path / "t" / "merged").glob("*.parquet"))
+    assert list((tmp_path / "t" / "rows").glob("day=*/*.parquet"))
+
+
+def test_a_run_that_dies_while_folders_move_is_finished(spark, tmp_path, monkeypatch):
+    rows, path = some_rows(6), str(tmp_path / "t")
+    write(spark, path, [r for r in rows if r[0] == 0])
+    with monkeypatch.context() as m:
+        m.setattr(sink, "_apply", lambda *_: None)
+        write(spark, path, [r for r in rows if r[0] > 0])
+    # One folder was moved before the run died, and of another the old one was only deleted.
+    moved, deleted = sorted((tmp_path / "t" / "merged").glob("day=*"))[:2]
+    old = tmp_path / "t" / "rows"
+    for day in (moved.name, deleted.name):
+        (old / day).rename(tmp_path / f"gone-{day}")
+    moved.rename(old / moved.name)
+    assert resume(spark, path, "day") and not resume(spark, path, "day")
+    assert state(read_stored(spark, path)) == by_hand(rows)
