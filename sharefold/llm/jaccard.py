@@ -4,7 +4,8 @@ Sets that are equal are one class. A class's rarest shingles are its entries in
 is compared with all members; what this tells about two members decides most pairs without looking at their sets
 (answers derived from those of a similar set), and members already connected need no answer. Members that meet too
 late in their prefixes are skipped by their places. Long lists are cut in blocks by size and place, and two blocks that
-cannot hold a link are never brought together.
+cannot hold a link are never brought together. Of the pairs that are left, those whose parities differ in too many bits
+cannot link; only for the others are sets made and moved.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sharefold.llm.components import components
 from sharefold.llm.filters import HashFilter
-from sharefold.llm.shingles import SKETCH_BITS, SLICES, digest, prefix_length, rarest_first, shingle_set, slots
+from sharefold.llm.shingles import SKETCH_BITS, SLICES, digest, least_apart, parity, prefix_length, rarest_first, shingle_set, slots
 from sharefold.session import scratch_path
 from sharefold.sinks import pin
 
@@ -82,20 +83,20 @@ def shingle_counts(surveyed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, sketch: np.ndarray, percent: int, key: str, text: str) -> DataFrame:
-    """id, n, digest (d1, d2) and the rarest shingles, packed in one binary, of every document."""
+    """id, n, digest (d1, d2), the rarest shingles, packed in one binary, and the parity of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    @F.arrow_udf("struct<n:bigint,d1:bigint,d2:bigint,prefix:binary>")
+    @F.arrow_udf("struct<n:bigint,d1:bigint,d2:bigint,prefix:binary,parity:binary>")
     def rarest(texts: pa.Array) -> pa.Array:
         rows = []
         for value in texts:
             members = shingle_set(value.as_py())
             head = rarest_first(members, shared.value)[: prefix_length(len(members), percent)] if len(members) else members
-            rows.append((len(members), *digest(members), head.astype(np.int64).tobytes()))
-        names, types = ("n", "d1", "d2", "prefix"), (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            rows.append((len(members), *digest(members), head.astype(np.int64).tobytes(), parity(members)))
+        names, types = ("n", "d1", "d2", "prefix", "parity"), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), rarest(F.col(text)).alias("r")).select("key", "r.n", "r.d1", "r.d2", "r.prefix")
+    return docs.select(F.col(key).cast("bigint").alias("key"), rarest(F.col(text)).alias("r")).select("key", "r.n", "r.d1", "r.d2", "r.prefix", "r.parity")
 
 
 def entries(packed: DataFrame) -> DataFrame:
@@ -120,6 +121,16 @@ def entries(packed: DataFrame) -> DataFrame:
     return packed.select("id", "n", "prefix").mapInArrow(unpack, "shingle bigint, id bigint, n int, place int")
 
 
+def member_lists(listed: DataFrame) -> DataFrame:
+    """Entries of the shingles that more than one class has, with their number (many) and the list's smallest id (pivot).
+
+    Entries move once. By far most stand alone in their list, but which ones is only known where they meet, and a filter
+    that would spare them a second move has to grow with them.
+    """
+    same = Window.partitionBy("shingle")
+    return listed.withColumns({"many": F.count("*").over(same), "pivot": F.min("id").over(same)}).where("many > 1")
+
+
 def common_column(a: str, b: str) -> Column:
     """How many shingles two packed sets have in common."""
 
@@ -140,6 +151,21 @@ def reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * common.cast("bigint") >= percent * (n.cast("bigint") + m - common)
 
 
+def may_link(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b, n, m) without those that the parities show to be too far apart; a pair that links is never left
+    out. Unrelated sets differ in half of the bits, sets that link in a sixth at most."""
+
+    @F.arrow_udf("bigint")
+    def apart(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([least_apart(x.as_py(), y.as_py()) for x, y in zip(left, right, strict=True)], pa.int64())
+
+    told = pairs
+    for side, name in (("a", "_p"), ("b", "_q")):
+        told = told.join(packed.select(F.col("id").alias(side), F.col("parity").alias(name)), side)
+    told = told.withColumn("_most", F.floor((F.col("n") + F.col("m") - apart("_p", "_q")) / 2))
+    return told.where(reaches(F.col("_most"), F.col("n"), F.col("m"), percent)).select(*pairs.columns)
+
+
 def members_column(text: str) -> Column:
     """A text's set, packed, and the first half of its digest, which tells apart the texts of one key."""
 
@@ -314,13 +340,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     told_by = ["key", "n", "d1", "d2"]
     reps = classes.where((F.col("n") >= least) & F.col("rep").isNotNull()).select("id", F.col("rep").alias("key"), "n", "d1", "d2")
     packed = prefixes(docs, shingle_counts(surveyed), percent, key, text).where(F.col("n") >= least)
-    packed = pin(packed.join(reps, told_by).dropDuplicates(told_by).select("id", "n", "prefix"), scratch_path(spark, "prefixes"))
-
-    listed = entries(packed)
-    heads = listed.groupBy("shingle").agg(F.count("*").alias("many"), F.min("id").alias("pivot")).where("many > 1")
-    heads = pin(heads, scratch_path(spark, "heads"))
-    # Most entries stand alone in their list; a filter of fixed size spares them the second shuffle.
-    lists = pin(listed.where(HashFilter(heads, "shingle").likely(F.col("shingle"))).join(heads, "shingle"), scratch_path(spark, "lists"))
+    packed = pin(packed.join(reps, told_by).dropDuplicates(told_by).select("id", "n", "prefix", "parity"), scratch_path(spark, "prefixes"))
+    lists = pin(member_lists(entries(packed)), scratch_path(spark, "lists"))
 
     answers = pin(compared(star_pairs(lists), docs, classes, key, text), scratch_path(spark, "answers"))
     sure = answers.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent)).select("a", "b")
@@ -340,7 +361,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     pairs = walk_lists(open_lists, percent).groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("n").alias("n"), F.max("m").alias("m"))
     done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = pin(pairs.join(done, ["a", "b"], "left_anti"), scratch_path(spark, "pairs"))
-    checked = compared(pairs.where("not sure").select("a", "b", "n", "m"), docs, classes, key, text)
+    open_pairs = may_link(pairs.where("not sure").select("a", "b", "n", "m"), packed, percent)
+    checked = compared(open_pairs, docs, classes, key, text)
     checked = checked.where(reaches(F.col("common"), F.col("n"), F.col("m"), percent))
     tied = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
     links = tied.union(pairs.where("sure").select("a", "b")).union(checked.select("a", "b"))

@@ -35,6 +35,20 @@ def slots(members: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return (members & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
+def parity(members: np.ndarray) -> bytes:
+    """A bit for each of at least as many slots as the set has members, always a power of two: whether an odd number of
+    them falls in the slot. It takes 1/64 to 1/32 of the set's own space, and more for small sets only."""
+    bits = max(64, 1 << (len(members) - 1).bit_length()) if len(members) else 64
+    return np.packbits((np.bincount(slots(members, bits.bit_length() - 1), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """Members that are in one of two sets only, at least: each changes one bit between the two parities, and common ones
+    none. The longer parity is folded to the length of the shorter one."""
+    short, long = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(np.bitwise_count(short ^ np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)).sum())
+
+
 def rarest_first(members: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """The set in one order for all sets: by how common the sketch says a shingle is, then by hash."""
     return members[np.lexsort((members, sketch[slots(members, len(sketch).bit_length() - 1)]))]

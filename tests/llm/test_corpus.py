@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pyarrow as pa
 import pytest
 from fixtures import ODD, documents, empty, prose
@@ -12,6 +13,7 @@ from sharefold.llm.components import components
 from sharefold.llm.contamination import decontaminate, overlaps
 from sharefold.llm.jaccard import dealt_lists, jaccard_components, keep_one_of_each
 from sharefold.llm.line_dedup import dedup_lines
+from sharefold.llm.shingles import least_apart, parity
 
 
 def lines(seed, n, least=3, most=40):
@@ -304,3 +306,65 @@ def test_jaccard_sets_are_made_without_a_join(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
     assert found == {1: 1, 2: 1, 3: 3}
     assert plans and not any("Join" in line for plan in plans for line in plan)
+
+
+def test_parities_never_say_more_than_sets_differ():
+    draw = np.random.default_rng(7)
+    for n, m, both in [(0, 0, 0), (1, 1, 1), (6, 7, 6), (64, 65, 60), (500, 500, 0), (500, 430, 430), (3000, 90, 20), (5000, 5000, 4700)]:
+        pool = np.unique(draw.integers(0, 2**64, n + m, np.uint64))
+        pool = draw.permutation(pool)
+        a, b = np.sort(pool[:n]), np.sort(pool[n - both : n - both + m])
+        found = least_apart(parity(a), parity(b))
+        assert found == least_apart(parity(b), parity(a)) <= n + m - 2 * both
+        if both == 0 and n:
+            assert found > 0.163 * (n + m)  # too far apart for a link
+
+
+def test_sets_of_pairs_too_far_apart_are_not_made(spark, monkeypatch):
+    """Each two documents share one passage: rare shingles of both, but far from a link."""
+    from sharefold.llm import jaccard
+
+    made, walked, pin = [], [], jaccard.pin
+
+    def noted(df, path):
+        out = pin(df, path)
+        if "/sets-" in path:
+            made.append(out.count())
+        if "/pairs-" in path:
+            walked.append(out.where("not sure").count())
+        return out
+
+    monkeypatch.setattr(jaccard, "pin", noted)
+    passages = {(i, j): [f"p{i}x{j}x{k}" for k in range(60)] for i in range(8) for j in range(i + 1, 8)}
+    texts = [" ".join(w for pair, words in passages.items() if i in pair for w in words) for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert found == {i: i for i in range(8)}
+    assert walked[0] > 0 and sum(made) == 0
+
+
+def test_entries_move_once_to_their_lists(spark, monkeypatch):
+    from sharefold.llm import jaccard
+
+    plans, pin = [], jaccard.pin
+
+    def noted(df, path):
+        if "/lists-" in path:
+            plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(shingle"))
+        assert "/heads-" not in path
+        return pin(df, path)
+
+    monkeypatch.setattr(jaccard, "pin", noted)
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, "y " * 9)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert plans == [1]
+    listed = spark.createDataFrame([(5, 2, 9, 0), (5, 1, 9, 3), (6, 1, 9, 4), (7, 3, 8, 0), (7, 2, 9, 1), (7, 4, 9, 2)], "shingle long, id long, n int, place int")
+    lists = jaccard.member_lists(listed).collect()
+    assert sorted((r.shingle, r.id, r.n, r.place, r.many, r.pivot) for r in lists) == [
+        (5, 1, 9, 3, 2, 1),
+        (5, 2, 9, 0, 2, 1),
+        (7, 2, 9, 1, 3, 2),
+        (7, 3, 8, 0, 3, 2),
+        (7, 4, 9, 2, 3, 2),
+    ]
